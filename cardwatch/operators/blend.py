@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,13 +51,14 @@ def search_weights(oof: DataFrame, members: list[str], trials: list[list[float]]
     ).scalar()
 
     totals = [sum(w) for w in trials]
-    vectors = F.array(
-        *[
-            F.struct(F.lit(i).alias("trial"), *[F.lit(float(x)).alias(m) for m, x in zip(members, w, strict=True)], F.lit(t).alias("total"))
-            for i, (w, t) in enumerate(zip(trials, totals, strict=True))
-            if t > 0
-        ]
-    )
+    # One literal for all vectors: JSON keeps doubles exactly, and parsing it folds into a constant.
+    fields = ["trial int", *[f"{m} double" for m in members], "total double"]
+    listed = [
+        {"trial": i, **dict(zip(members, w, strict=True)), "total": t}
+        for i, (w, t) in enumerate(zip(trials, totals, strict=True))
+        if t > 0
+    ]
+    vectors = F.from_json(F.lit(json.dumps(listed)), f"array<struct<{', '.join(f.replace(' ', ': ', 1) for f in fields)}>>")
 
     def hits(vector: Column) -> Column:
         weighted = [F.col(m) * vector[m] for m in members]

@@ -111,18 +111,14 @@ def interaction_grid(df: DataFrame, a: str, b: str, label: str = LABEL) -> DataF
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair below the diagonal, all in one aggregate."""
     pairs = [(columns[i], columns[j]) for i in range(len(columns)) for j in range(i)]
-    deviations = [F.stddev_pop(c).alias(f"sd_{c}") for c in columns]
-    products = [F.covar_pop(a, b).alias(f"cov_{i}") for i, (a, b) in enumerate(pairs)]
-    stats = df.agg(*deviations, *products)
-    rows = [
-        F.struct(
-            F.lit(a).alias("row_name"),
-            F.lit(b).alias("column_name"),
-            F.try_divide(F.col(f"cov_{i}"), F.col(f"sd_{a}") * F.col(f"sd_{b}")).alias("correlation"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return stats.select(F.inline(F.array(*rows)))
+    stats = df.selectExpr(
+        *[f"stddev_pop(`{c}`) AS `sd_{c}`" for c in columns],
+        *[f"covar_pop(`{a}`, `{b}`) AS cov_{i}" for i, (a, b) in enumerate(pairs)],
+    )
+    rows = ", ".join(
+        f"'{a}', '{b}', try_divide(cov_{i}, `sd_{a}` * `sd_{b}`)" for i, (a, b) in enumerate(pairs)
+    )
+    return stats.selectExpr(f"stack({len(pairs)}, {rows}) AS (row_name, column_name, correlation)")
 
 
 def correlation_with(df: DataFrame, columns: list[str], target: str = LABEL) -> DataFrame:
@@ -140,19 +136,15 @@ def strongest_correlations(correlations: DataFrame, n: int = 5) -> DataFrame:
 
 def feature_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
     """Min, max, mean and sample deviation of every column in one aggregate."""
-    stats = df.agg(
+    stats = df.selectExpr(
         *[
-            f(c).alias(f"{n}_{c}")
+            f"CAST({f}(`{c}`) AS DOUBLE) AS `{n}_{c}`"
             for c in columns
-            for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))
+            for n, f in (("min", "min"), ("max", "max"), ("mean", "avg"), ("std", "stddev_samp"))
         ]
     )
-    return long_row(
-        stats,
-        [],
-        {c: {n: F.col(f"{n}_{c}").cast("double") for n in ("min", "max", "mean", "std")} for c in columns},
-        "feature",
-    )
+    rows = ", ".join(f"'{c}', `min_{c}`, `max_{c}`, `mean_{c}`, `std_{c}`" for c in columns)
+    return stats.selectExpr(f"stack({len(columns)}, {rows}) AS (feature, min, max, mean, std)")
 
 
 def minority_plus_sample(df: DataFrame, columns: list[str], n: int = 500, seed: int = 42, label: str = LABEL) -> DataFrame:

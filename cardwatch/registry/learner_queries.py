@@ -1,5 +1,214 @@
-"""Queries that fit models. Placeholder registry until the learners exist."""
+"""Queries that fit models, with budgets small enough for one machine."""
 
+from __future__ import annotations
 
-def learner_queries() -> dict:
-    return {}
+from collections.abc import Callable
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
+from cardwatch.learners.knn import nearest_neighbors, vote
+from cardwatch.operators import encode
+from cardwatch.operators import evaluate as ev
+from cardwatch.operators.importance import feature_importance
+from cardwatch.plans import ensemble, training
+from cardwatch.plans.run import RunConfig, run
+from cardwatch.schema import ID, LABEL, RAW_FEATURES, feature_names
+from cardwatch.session import scratch_path, settle
+from cardwatch.sources import artifacts, standin, tables
+from cardwatch.streaming import scoring
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+FEATURES = feature_names(standin.EVENT_TYPES)
+FOLDS = 3
+
+# Small budgets: few rounds and shallow trees. The full search spaces live with the learners.
+BUDGETS = {
+    "LogisticRegression": {"C": 1.0, "max_iter": 50},
+    "RandomForest": {"n_estimators": 20, "max_depth": 6},
+    "ExtraTrees": {"n_estimators": 20, "max_depth": 6},
+    "XGBoost": {"n_estimators": 5, "learning_rate": 0.3, "max_depth": 4},
+    "LightGBM": {"n_estimators": 5, "learning_rate": 0.2, "max_depth": 5},
+    "CatBoost": {"iterations": 5, "learning_rate": 0.2, "depth": 4},
+    "AdaBoost": {"n_estimators": 8, "learning_rate": 0.7},
+    "GradientBoosting": {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 3},
+    "SVC": {"C": 1.0, "max_iter": 15, "folds": 2},
+    "KNN": {"n_neighbors": 5, "weights": "distance"},
+    "GaussianNB": {"var_smoothing": 1e-9},
+    "MLPClassifier": {"hidden_layer_sizes": [10], "alpha": 0.08, "max_iter": 30},
+}
+MEMBERS = ["LogisticRegression", "RandomForest", "GradientBoosting"]
+
+NUMBERED = {
+    "m20_logistic_regression": "LogisticRegression",
+    "m21_random_forest": "RandomForest",
+    "m22_extra_trees": "ExtraTrees",
+    "m23_xgboost_preset": "XGBoost",
+    "m24_lightgbm_preset": "LightGBM",
+    "m25_catboost_preset": "CatBoost",
+    "m26_adaboost": "AdaBoost",
+    "m27_gradient_boosting": "GradientBoosting",
+    "m28_svc": "SVC",
+    "m29_knn_oof": "KNN",
+    "m30_gaussian_nb_oof": "GaussianNB",
+    "m31_mlp": "MLPClassifier",
+}
+
+
+def raw_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    tx = standin.transactions(spark, sf_dir)
+    return standin.train_rows(tx), standin.test_rows(tx)
+
+
+def engineered(df: DataFrame) -> DataFrame:
+    return encode.encode(encode.engineer_features(df), standin.EVENT_TYPES)
+
+
+def learning_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The engineered train rows, written once: fits read them many times."""
+    return settle(engineered(raw_split(spark, sf_dir)[0]))
+
+
+def table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.training_table(engineered(raw_split(spark, sf_dir)[0]), FOLDS)
+
+
+def rounded_score(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", F.round("score", 6))
+
+
+def oof_of(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folded = table(spark, sf_dir)
+        return rounded_score(training.oof_predict(training.learner(name), BUDGETS[name], folded, FEATURES))
+
+    return query
+
+
+def m04_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = table(spark, sf_dir)
+    name = "LogisticRegression"
+    return training.cross_validate(training.learner(name), BUDGETS[name], folded, FEATURES)
+
+
+def m06_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folded = table(spark, sf_dir)
+    learner = training.learner("LogisticRegression")
+    return training.tune(learner, folded, FEATURES, n_trials=3, fixed={"max_iter": 30})
+
+
+def m07_fit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, test = raw_split(spark, sf_dir)
+    name = "GradientBoosting"
+    model = training.fit_final(training.learner(name), BUDGETS[name], learning_rows(spark, sf_dir), FEATURES)
+    return training.predictions(training.score_test(model, engineered(test)))
+
+
+def m11_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = {m: BUDGETS[m] for m in MEMBERS}
+    oof = ensemble.member_oof(members, table(spark, sf_dir), FEATURES)
+    meta_oof, _, threshold = ensemble.stack(oof, MEMBERS, FOLDS)
+    stacked = meta_oof.withColumn("prediction", ev.threshold_predict(F.col("score"), threshold))
+    return rounded_score(stacked)
+
+
+def m15_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = learning_rows(spark, sf_dir)
+    names = ["RandomForest", "GradientBoosting", "LogisticRegression", "AdaBoost"]
+    models = {n: training.fit_final(training.learner(n), BUDGETS[n], learn, FEATURES) for n in names}
+    return feature_importance(spark, models, FEATURES)
+
+
+def scaled_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test with the raw numerics z-scored by the train statistics."""
+    train, test = raw_split(spark, sf_dir)
+    assembler = VectorAssembler(inputCols=RAW_FEATURES, outputCol="features")
+    doubles = {c: F.col(c).cast("double") for c in RAW_FEATURES}
+    return tuple(
+        assembler.transform(encode.standard_scale(df.withColumns(doubles), RAW_FEATURES, train)) for df in (train, test)
+    )
+
+
+def neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = scaled_vectors(spark, sf_dir)
+    return nearest_neighbors(test, train, 5, label=LABEL)
+
+
+def m29_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbors(spark, sf_dir)
+    return found.select(ID, F.col("rank").alias("neighbor_rank"), "neighbor_id", F.round("d2", 6).alias("d2"))
+
+
+def m29_knn_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbors(spark, sf_dir)
+    near = vote(found, "distance").withColumnRenamed("score", "distance_score")
+    return vote(found, "uniform").withColumnRenamed("score", "uniform_score").join(near, ID).select(
+        ID, F.round("uniform_score", 6).alias("uniform_score"), F.round("distance_score", 6).alias("distance_score")
+    )
+
+
+def m30_gaussian_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = raw_split(spark, sf_dir)
+    assembler = VectorAssembler(inputCols=RAW_FEATURES, outputCol="features")
+    model = GaussianNaiveBayes(featuresCol="features", labelCol=LABEL, smoothing=1e-9).fit(
+        assembler.transform(train)
+    )
+    scored = model.transform(assembler.transform(test))
+    return rounded_score(scored.select(ID, training.positive_score(scored).alias("score")))
+
+
+def s06_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, test = raw_split(spark, sf_dir)
+    names = ["LogisticRegression", "GaussianNB"]
+    learn = learning_rows(spark, sf_dir)
+    path = scratch_path(spark, "artifacts")
+    artifacts.save_models(ensemble.member_models({n: BUDGETS[n] for n in names}, learn, FEATURES), path)
+    artifacts.save_settings(spark, {n: 0.5 for n in names}, 0.5, path)
+    loaded = artifacts.load_models(names, path)
+    wide = ensemble.member_scores(loaded, engineered(test))
+    return wide.select(ID, *[F.round(n, 6).alias(n) for n in names])
+
+
+def x05_stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, test = raw_split(spark, sf_dir)
+    name = "LogisticRegression"
+    model = training.fit_final(training.learner(name), BUDGETS[name], learning_rows(spark, sf_dir), FEATURES)
+    arrived = tables.write_table(test, scratch_path(spark, "arriving"))
+    stream = scoring.score_stream(scoring.read_stream(spark, arrived), model, standin.EVENT_TYPES)
+    scored = scratch_path(spark, "scored")
+    scoring.write_scores(stream, scored, scratch_path(spark, "stream-state")).awaitTermination()
+    return rounded_score(spark.read.parquet(scored))
+
+
+def r01_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = raw_split(spark, sf_dir)
+    config = RunConfig(
+        vote_members=MEMBERS,
+        stack_members=MEMBERS,
+        merchants=standin.EVENT_TYPES,
+        params={m: BUDGETS[m] for m in MEMBERS},
+        folds=FOLDS,
+        output=scratch_path(spark, "run"),
+    )
+    return run(train, test, config).submission
+
+
+def learner_queries() -> dict[str, Query]:
+    return {
+        "s06_save_load_model": s06_save_load_model,
+        "m04_cross_validate": m04_cross_validate,
+        "m05_oof_predict": oof_of("RandomForest"),
+        "m06_tune": m06_tune,
+        "m07_fit_final": m07_fit_final,
+        "m11_stack": m11_stack,
+        "m15_feature_importance": m15_feature_importance,
+        **{key: oof_of(name) for key, name in NUMBERED.items()},
+        "m29_knn_join": m29_knn_join,
+        "m29_knn_vote": m29_knn_vote,
+        "m30_gaussian_nb": m30_gaussian_nb,
+        "r01_run": r01_run,
+        "x05_stream_scoring": x05_stream_scoring,
+    }

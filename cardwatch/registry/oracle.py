@@ -600,5 +600,44 @@ def _f1s(table: str, score: str) -> str:
     return f"CASE WHEN 2*{tp}+{wrong} = 0 THEN 0 ELSE 2.0*{tp}/(2*{tp}+{wrong}) END FROM {table}"
 
 
+def _neighbors() -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in RAW_FEATURES)
+    z = ", ".join(f"CASE WHEN s_{c} = 0 THEN {c}-m_{c} ELSE ({c}-m_{c})/s_{c} END AS {c}" for c in RAW_FEATURES)
+    d2 = " + ".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in RAW_FEATURES)
+    return (
+        f"{TX}, m AS (SELECT {stats} FROM train), z AS (SELECT transaction_id, split, is_fraud, {z} FROM tx, m), "
+        f"pairs AS (SELECT a.transaction_id, b.transaction_id AS neighbor_id, b.is_fraud, round({d2}, 9) AS d2 "
+        "FROM z a, z b WHERE a.split='test' AND b.split='train'), "
+        "near AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY transaction_id ORDER BY d2, neighbor_id) AS INT) AS neighbor_rank "
+        "FROM pairs) WHERE neighbor_rank <= 5)"
+    )
+
+
+def _learners() -> dict[str, str]:
+    per_class = ", ".join(
+        f"avg({c}) FILTER (is_fraud={k}) AS m{k}_{c}, var_pop({c}) FILTER (is_fraud={k}) AS v{k}_{c}"
+        for k in (0, 1)
+        for c in RAW_FEATURES
+    )
+    widest = ", ".join(f"var_pop({c})" for c in RAW_FEATURES)
+
+    def density(k: int) -> str:
+        return " + ".join(
+            f"(-0.5*ln(2*pi()*(v{k}_{c}+extra)) - 0.5*({c}-m{k}_{c})*({c}-m{k}_{c})/(v{k}_{c}+extra))" for c in RAW_FEATURES
+        )
+
+    odds = f"greatest(least({density(1)} + ln(n1/n0) - ({density(0)}), 700), -700)"
+    return {
+        "m29_knn_join": f"WITH {_neighbors()} SELECT transaction_id, neighbor_rank, neighbor_id, round(d2, 6) AS d2 FROM near",
+        "m29_knn_vote": f"WITH {_neighbors()} SELECT transaction_id, round(avg(is_fraud), 6) AS uniform_score, "
+        "round(CASE WHEN count(*) FILTER (d2=0) > 0 THEN avg(is_fraud) FILTER (d2=0) ELSE "
+        "sum(CASE WHEN d2 > 0 THEN is_fraud/sqrt(d2) ELSE 0 END)/sum(CASE WHEN d2 > 0 THEN 1/sqrt(d2) ELSE 0 END) END, 6) "
+        "AS distance_score FROM near GROUP BY transaction_id",
+        "m30_gaussian_nb": f"WITH {TX}, st AS (SELECT count(*) FILTER (is_fraud=0) AS n0, count(*) FILTER (is_fraud=1) AS n1, "
+        f"CAST(0.000000001 AS DOUBLE)*greatest({widest}) AS extra, {per_class} FROM train) "
+        f"SELECT transaction_id, round(1/(1+exp(-({odds}))), 6) AS score FROM tx, st WHERE split='test'",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _quality() | _profile() | _features() | _evaluate() | _models()
+    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners()
