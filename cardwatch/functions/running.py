@@ -46,28 +46,37 @@ def running_sums(
 ) -> DataFrame:
     """Add inclusive running sums (``sums``: new name -> column) and group totals (``totals``).
 
-    ``bucket`` must be monotone in ``order`` (falling if ``descending``) and, like the group
-    columns, not null. With ``ties`` rows equal in ``order`` see each other.
+    ``bucket`` must be monotone in ``order`` (falling if ``descending``). With ``ties`` rows equal
+    in ``order`` see each other. Each bucket receives one more row, holding what came before it, so
+    rows and starting sums meet in the window's own shuffle and no join is needed.
     """
     totals = totals or {}
     by_bucket = F.col(bucket).desc() if descending else F.col(bucket).asc()
-    measures = sorted({*sums.values(), *totals.values()})
-    per_bucket = df.groupBy(*group, bucket).agg(*[F.sum(m).alias(f"__sum_{m}") for m in measures])
+    carried = sorted(set(sums.values()))
+    measures = sorted({*carried, *totals.values()})
+    per_bucket = df.groupBy(*group, bucket).agg(*[F.sum(m).alias(m) for m in measures])
 
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(by_bucket).rowsBetween(Window.unboundedPreceding, -1)
     start = per_bucket.select(
         *group,
         bucket,
-        *[F.coalesce(F.sum(f"__sum_{m}").over(earlier), F.lit(0)).alias(f"__start_{n}") for n, m in sums.items()],
-        *[F.sum(f"__sum_{m}").over(whole).alias(n) for n, m in totals.items()],
+        F.lit(1).alias("__first"),
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(m) for m in carried],
+        *[F.sum(m).over(whole).alias(n) for n, m in totals.items()],
     )
 
-    inside = Window.partitionBy(*group, bucket).orderBy(*order)
+    inside = Window.partitionBy(*group, bucket).orderBy(F.col("__first").desc(), *order)
     inside = (
         inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
         if ties
         else inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = {n: F.col(f"__start_{n}") + F.sum(m).over(inside) for n, m in sums.items()}
-    return df.join(start, [*group, bucket]).withColumns(within).drop(*[f"__start_{n}" for n in sums])
+    added = {n: F.sum(m).over(inside) for n, m in sums.items()} | {n: F.max(n).over(inside) for n in totals}
+    return (
+        df.withColumn("__first", F.lit(0))
+        .unionByName(start, allowMissingColumns=True)
+        .withColumns(added)
+        .filter(F.col("__first") == 0)
+        .drop("__first")
+    )

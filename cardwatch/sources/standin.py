@@ -31,13 +31,19 @@ def with_velocity(rows: DataFrame) -> DataFrame:
     later; the running sum of +1 and -1 is the number of live events. Users are cut into hours,
     so a user with a large share of all events is spread over many tasks.
     """
-    entering = rows.withColumns({"at": F.col("ts"), "live": F.lit(1)})
-    leaving = rows.select(
+    leaves = F.col("ts") + F.expr("INTERVAL '1 00:00:00.000001' DAY TO SECOND")
+    moves = F.array(
+        F.struct(F.col("ts").alias("at"), F.lit(1).alias("live")), F.struct(leaves.alias("at"), F.lit(-1).alias("live"))
+    )
+    moved = rows.select("*", F.inline(moves))
+    # The leaving row needs only its user and time; its other columns would be shuffled for nothing.
+    slim = moved.selectExpr(
         "user_id",
-        (F.col("ts") + F.expr("INTERVAL '1 00:00:00.000001' DAY TO SECOND")).alias("at"),
-        F.lit(-1).alias("live"),
+        "at",
+        "live",
+        *[f"CASE WHEN live = 1 THEN {c} END AS {c}" for c in rows.columns if c not in ("user_id", "ts")],
     )
-    changes = entering.unionByName(leaving, allowMissingColumns=True).withColumn("hour_index", _hour_index(F.col("at")))
+    changes = slim.withColumn("hour_index", _hour_index(F.col("at")))
     counted = running_sums(
         changes,
         group=["user_id"],
@@ -52,36 +58,28 @@ def with_velocity(rows: DataFrame) -> DataFrame:
     )
 
 
-def _one_if(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
-
-
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train and test transactions in one table, told apart by ``split``."""
-    event, user = F.col("event_id"), F.col("user_id")
-    base = events(spark, sf_dir).select(
+    base = events(spark, sf_dir).selectExpr(
         "user_id",
         "ts",
-        event.alias("transaction_id"),
-        F.round(F.col("value") * 3, 2).alias("amount"),
-        F.hour("ts").alias("transaction_hour"),
-        F.col("event_type").alias("merchant_category"),
-        _one_if((event * 7 + user) % 10 == 3).alias("foreign_transaction"),
-        _one_if((event * 31 + user * 3) % 13 == 0).alias("location_mismatch"),
-        (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 75 + 25).alias("device_trust_score"),
-        (user % 52 + 18).cast("int").alias("cardholder_age"),
-        F.when(event % 5 == 4, "test").otherwise("train").alias(SPLIT),
-    )
-    points = (
-        F.col("foreign_transaction") * 2
-        + F.col("location_mismatch") * 2
-        + _one_if(F.col("device_trust_score") < 40) * 2
-        + _one_if(F.col("transaction_hour") <= 5)
-        + _one_if(F.col("velocity_last_24h") >= 4)
-        + _one_if(F.col("amount") > 500)
+        "event_id AS transaction_id",
+        "round(value * 3, 2) AS amount",
+        "hour(ts) AS transaction_hour",
+        "event_type AS merchant_category",
+        "CASE WHEN (event_id * 7 + user_id) % 10 = 3 THEN 1 ELSE 0 END AS foreign_transaction",
+        "CASE WHEN (event_id * 31 + user_id * 3) % 13 = 0 THEN 1 ELSE 0 END AS location_mismatch",
+        "25 + CAST(regexp_extract(props, '[0-9]+', 0) AS INT) % 75 AS device_trust_score",
+        "CAST(18 + user_id % 52 AS INT) AS cardholder_age",
+        "CASE WHEN event_id % 5 = 4 THEN 'test' ELSE 'train' END AS split",
     )
-    needed = F.when(F.col("transaction_id") % 7 == 0, 4).otherwise(6)
-    return with_velocity(base).select(*RAW_COLUMNS, SPLIT, _one_if(points >= needed).alias(LABEL))
+    label = """CASE WHEN 2 * foreign_transaction + 2 * location_mismatch
+            + CASE WHEN device_trust_score < 40 THEN 2 ELSE 0 END
+            + CASE WHEN transaction_hour <= 5 THEN 1 ELSE 0 END
+            + CASE WHEN velocity_last_24h >= 4 THEN 1 ELSE 0 END
+            + CASE WHEN amount > 500 THEN 1 ELSE 0 END
+        >= CASE WHEN transaction_id % 7 = 0 THEN 4 ELSE 6 END THEN 1 ELSE 0 END"""
+    return with_velocity(base).selectExpr(*RAW_COLUMNS, SPLIT, f"{label} AS {LABEL}")
 
 
 def train_rows(tx: DataFrame) -> DataFrame:
@@ -95,21 +93,14 @@ def test_rows(tx: DataFrame) -> DataFrame:
 
 def scores(tx: DataFrame) -> DataFrame:
     """Three deterministic score columns over the transactions, each a number of points out of 20."""
-    located = F.col("foreign_transaction") + F.col("location_mismatch")
-    low_trust, night = _one_if(F.col("device_trust_score") < 40), _one_if(F.col("transaction_hour") <= 5)
-
-    def fast(n: int) -> Column:
-        return _one_if(F.col("velocity_last_24h") >= n)
-
-    def dear(n: int) -> Column:
-        return _one_if(F.col("amount") > n)
-
-    a = located * 4 + low_trust * 5 + night * 3 + fast(4) * 2 + dear(500) * 2
-    b = located * 6 + low_trust * 4 + night * 2 + fast(5) + dear(300)
-    c = located * 4 + low_trust * 3 + night * 5 + fast(3) * 2 + dear(200) * 2
-    return tx.select(
-        "transaction_id",
-        SPLIT,
-        LABEL,
-        *[(p.cast("double") / F.lit(20.0)).alias(f"score_{n}") for n, p in (("a", a), ("b", b), ("c", c))],
+    located = "(foreign_transaction + location_mismatch)"
+    low_trust = "CAST(device_trust_score < 40 AS INT)"
+    night = "CAST(transaction_hour <= 5 AS INT)"
+    points = {
+        "a": f"4*{located} + 5*{low_trust} + 3*{night} + 2*CAST(velocity_last_24h >= 4 AS INT) + 2*CAST(amount > 500 AS INT)",
+        "b": f"6*{located} + 4*{low_trust} + 2*{night} + CAST(velocity_last_24h >= 5 AS INT) + CAST(amount > 300 AS INT)",
+        "c": f"4*{located} + 3*{low_trust} + 5*{night} + 2*CAST(velocity_last_24h >= 3 AS INT) + 2*CAST(amount > 200 AS INT)",
+    }
+    return tx.selectExpr(
+        "transaction_id", SPLIT, LABEL, *[f"CAST({p} AS DOUBLE) / 20D AS score_{n}" for n, p in points.items()]
     )
