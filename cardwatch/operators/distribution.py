@@ -1,7 +1,8 @@
-"""Distinct-value counts per feature and the exact statistics that follow from them.
+"""Exact distribution statistics per feature: moments, quantiles, fences, histograms.
 
-One pass over the table folds it into (feature, value, count) rows; quantiles, fences and moments
-all read that folded table, so the data is scanned and shuffled once.
+Nothing here shuffles the rows themselves. Each pass over the (column-pruned) table folds it into
+bucket or bin counts before anything moves; only the few buckets that hold a wanted quantile are
+looked at value by value.
 
 ``by`` is a class-like column (label, split). Statistics per (class, feature) are therefore a handful
 of rows, at most columns times classes, which is what is broadcast below.
@@ -9,72 +10,99 @@ of rows, at most columns times classes, which is what is broadcast below.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.running import running_sums, value_bucket
+from cardwatch.operators.quality import long_row
+
+# Cells a quantile's bucket is cut into, so that even a crowded bucket is spread over tasks.
+_CELLS = 4096
 
 
-def value_table(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Rows (by..., feature, value, n): how often each value occurs. Nulls are left out, as in pandas."""
+def long_values(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Rows (by..., feature, value). Nulls are left out, as in pandas."""
     by = by or []
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(by, columns, "feature", "value")
-    return (
-        long.filter(F.col("value").isNotNull()).groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    return long.filter(F.col("value").isNotNull())
 
 
-def quantiles(values: DataFrame, probs: dict[str, float], by: list[str]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of a value table: one row per group, one column per prob.
+def quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles: one row per (by..., feature), one column per prob.
 
-    Picks the two values around each rank by running counts; no group's values are gathered.
+    A first job counts rows per value bucket and brings back the buckets around each wanted rank:
+    at most two per prob and group. A bucket holding one value is done; only the rows inside the
+    value ranges of the others are read again, and ranked.
     """
-    ranked = running_sums(
-        values.withColumn("bucket", value_bucket(F.col("value"))),
-        group=by,
-        bucket="bucket",
-        order=[F.col("value")],
-        sums={"upto": "n"},
-        totals={"n_group": "n"},
+    by = by or []
+    keys = [*by, "feature"]
+
+    def rank(p: float) -> Column:
+        return (F.col("n_group") - 1) * F.lit(float(p))
+
+    def holds(position: Column) -> Column:
+        return (F.col("upto") > position) & (F.col("upto") - F.col("n") <= position)
+
+    positions = [end(rank(p)) for p in probs.values() for end in (F.floor, F.ceil)]
+    bucketed = long_values(df, columns, by).withColumn("bucket", value_bucket(F.col("value")))
+    whole = Window.partitionBy(*keys)
+    upwards = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    targets = (
+        bucketed.groupBy(*keys, "bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumns({"upto": F.sum("n").over(upwards), "n_group": F.sum("n").over(whole)})
+        .filter(reduce(or_, map(holds, positions)))
     )
-
-    def at(position: Column) -> Column:
-        hit = (F.col("upto") > position) & (F.col("upto") - F.col("n") <= position)
-        return F.max(F.when(hit, F.col("value")))
+    rows = targets.collect()
+    found = df.sparkSession.createDataFrame(rows, targets.schema)
+    spread = sorted({(r["feature"], r["low"], r["high"]) for r in rows if r["low"] < r["high"]})
+
+    names = [*keys, "value", "n", "upto", "n_group"]
+    candidates = found.filter(F.col("low") == F.col("high")).withColumn("value", F.col("low")).select(*names)
+    if spread:
+        in_range = reduce(or_, [F.col(c).between(low, high) for c, low, high in spread])
+        buckets = found.filter(F.col("low") < F.col("high")).select(
+            *keys, "bucket", "low", "high", (F.col("upto") - F.col("n")).alias("before"), "n_group"
+        )
+        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+        inside = long_values(df.filter(in_range), sorted({c for c, _, _ in spread}), by)
+        counted = (
+            inside.withColumn("bucket", value_bucket(F.col("value")))
+            .join(F.broadcast(buckets), [*keys, "bucket"])
+            .withColumn("cell", F.floor(share * _CELLS))
+            .groupBy(*keys, "bucket", "before", "n_group", "cell", "value")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        ranked = running_sums(
+            counted, group=[*keys, "bucket"], bucket="cell", order=[F.col("value")], sums={"within": "n"}
+        )
+        candidates = candidates.unionByName(
+            ranked.withColumn("upto", F.col("within") + F.col("before")).select(*names)
+        )
 
     aggs = []
     for name, p in probs.items():
-        rank = (F.col("n_group") - 1) * F.lit(float(p))
-        aggs += [
-            at(F.floor(rank)).alias(f"lo_{name}"),
-            at(F.ceil(rank)).alias(f"hi_{name}"),
-            F.max(rank - F.floor(rank)).alias(f"part_{name}"),
-        ]
-    picked = ranked.groupBy(*by).agg(*aggs)
+        for end, position in (("lo", F.floor(rank(p))), ("hi", F.ceil(rank(p)))):
+            aggs.append(F.max(F.when(holds(position), F.col("value"))).alias(f"{end}_{name}"))
+        aggs.append(F.max(rank(p) - F.floor(rank(p))).alias(f"part_{name}"))
+    picked = candidates.groupBy(*keys).agg(*aggs)
     return picked.select(
-        *by,
-        *[
-            (F.col(f"lo_{n}") + (F.col(f"hi_{n}") - F.col(f"lo_{n}")) * F.col(f"part_{n}")).alias(n) for n in probs
-        ],
+        *keys,
+        *[(F.col(f"lo_{n}") + (F.col(f"hi_{n}") - F.col(f"lo_{n}")) * F.col(f"part_{n}")).alias(n) for n in probs],
     )
 
 
-def moments(values: DataFrame, by: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, min and max of a value table (two steps, no cancellation)."""
-    means = values.groupBy(*by).agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    spread = (
-        values.join(F.broadcast(means.select(*by, F.col("mean").alias("center"))), by)
-        .groupBy(*by)
-        .agg(F.sum(F.col("n") * (F.col("value") - F.col("center")) * (F.col("value") - F.col("center"))).alias("ss"))
-    )
-    return means.join(spread, by).select(
-        *by, "count", "mean", F.sqrt(F.try_divide(F.col("ss"), F.col("count") - 1)).alias("std"), "min", "max"
+def moments(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Count, mean, sample deviation, min and max of every column in one aggregate."""
+    by = by or []
+    kinds = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    stats = df.groupBy(*by).agg(
+        *[F.expr(f"{f}(CAST(`{c}` AS DOUBLE))").alias(f"{n}_{c}") for c in columns for n, f in kinds.items()]
     )
+    return long_row(stats, by, {c: {n: F.col(f"{n}_{c}") for n in kinds} for c in columns}, "feature")
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -83,10 +111,9 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max of each column."""
     keys = [*(by or []), "feature"]
-    values = value_table(df, columns, by)
     return (
-        moments(values, keys)
-        .join(quantiles(values, QUARTILES, keys), keys)
+        moments(df, columns, by)
+        .join(F.broadcast(quantiles(df, columns, QUARTILES, by)), keys, "left")
         .select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
     )
 
@@ -95,19 +122,19 @@ def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) ->
 FENCE = 1.5
 
 
-def _fences(values: DataFrame, by: list[str]) -> DataFrame:
-    q = quantiles(values, QUARTILES, by)
+def _fences(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    q = quantiles(df, columns, QUARTILES, by)
     iqr = F.col("p75") - F.col("p25")
     return q.withColumns({"lower": F.col("p25") - iqr * FENCE, "upper": F.col("p75") + iqr * FENCE})
 
 
 def iqr_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
-    values = value_table(df, columns)
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     counted = (
-        values.join(F.broadcast(_fences(values, ["feature"])), "feature")
+        long_values(df, columns)
+        .join(F.broadcast(_fences(df, columns)), "feature")
         .groupBy("feature", "p25", "p75", "lower", "upper")
-        .agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"), F.sum("n").alias("total"))
+        .agg(F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("total"))
     )
     return counted.select(
         "feature",
@@ -123,15 +150,15 @@ def iqr_outliers(df: DataFrame, columns: list[str]) -> DataFrame:
 def box_summary(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     """Quartiles, whisker ends (the most extreme values inside the fences) and fliers per class."""
     keys = [by, "feature"]
-    values = value_table(df, columns, [by])
     inside = (F.col("value") >= F.col("lower")) & (F.col("value") <= F.col("upper"))
     return (
-        values.join(F.broadcast(_fences(values, keys)), keys)
+        long_values(df, columns, [by])
+        .join(F.broadcast(_fences(df, columns, [by])), keys)
         .groupBy(*keys, "p25", "p50", "p75")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("fliers"),
+            F.count_if(~inside).alias("fliers"),
         )
     )
 
@@ -143,19 +170,20 @@ def histogram(df: DataFrame, bins: dict[str, int], by: str) -> DataFrame:
     """
     keys = [by, "feature"]
     n_bins = F.element_at(F.create_map(*[F.lit(x) for kv in bins.items() for x in kv]), F.col("feature"))
-    values = value_table(df, list(bins), [by])
     ranges = (
-        values.groupBy(*keys)
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
+        moments(df, list(bins), [by])
+        .select(*keys, F.col("min").alias("low"), F.col("max").alias("high"), F.col("count").alias("total"))
+        .filter(F.col("total") > 0)
         .withColumn("bins", n_bins)
         .withColumn("width", (F.col("high") - F.col("low")) / F.col("bins"))
     )
-    place = F.coalesce(F.try_divide((F.col("value") - F.col("low")) * F.col("bins"), F.col("high") - F.col("low")), F.lit(0.0))
+    scaled = F.try_divide((F.col("value") - F.col("low")) * F.col("bins"), F.col("high") - F.col("low"))
     counted = (
-        values.join(F.broadcast(ranges.select(*keys, "low", "high", "bins")), keys)
-        .withColumn("bin", F.least(F.floor(place), F.col("bins") - 1).cast("int"))
+        long_values(df, list(bins), [by])
+        .join(F.broadcast(ranges.select(*keys, "low", "high", "bins")), keys)
+        .withColumn("bin", F.least(F.floor(F.coalesce(scaled, F.lit(0.0))), F.col("bins") - 1).cast("int"))
         .groupBy(*keys, "bin")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)))
     n = F.coalesce(F.col("n"), F.lit(0))
@@ -171,8 +199,7 @@ def histogram(df: DataFrame, bins: dict[str, int], by: str) -> DataFrame:
 def split_drift(df: DataFrame, columns: list[str], by: str = "split") -> DataFrame:
     """Mean, median and deviation of train and test side by side."""
     keys = [by, "feature"]
-    values = value_table(df, columns, [by])
-    stats = moments(values, keys).join(quantiles(values, {"median": 0.5}, keys), keys)
+    stats = moments(df, columns, [by]).join(F.broadcast(quantiles(df, columns, {"median": 0.5}, [by])), keys, "left")
 
     def of(name: str, split: str) -> Column:
         return F.max(F.when(F.col(by) == split, F.col(name))).alias(f"{split}_{name}")

@@ -59,7 +59,7 @@ NUMBERED = {
 
 
 def raw_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tx = standin.transactions(spark, sf_dir)
+    tx = standin.transactions_table(spark, sf_dir)
     return standin.train_rows(tx), standin.test_rows(tx)
 
 

@@ -149,6 +149,7 @@ def _quality() -> dict[str, str]:
         + union(
             [f"SELECT '{c}' AS column_name, '{(types | {'is_fraud': 'int'})[c]}' AS dtype, count({c}) AS non_null FROM train" for c in raw]
         ),
+        "s01_derive_transactions": f"WITH {TX} SELECT {', '.join(RAW_COLUMNS)}, split, is_fraud FROM tx",
         "s01_read_transactions": f"WITH {TX} SELECT {', '.join(RAW_COLUMNS)}, split, {hidden} AS is_fraud FROM tx",
         "s02_read_engineered": f"WITH {FE} SELECT transaction_id, split, {', '.join(FEATURES)}, {hidden} AS is_fraud FROM enc",
         "s03_write_table": f"WITH {TX} SELECT split, count(*) AS n_rows, {r6('sum(amount)', 'amount_sum')}, "
@@ -536,8 +537,8 @@ def _evaluate() -> dict[str, str]:
         "ap AS (SELECT model, fold, coalesce(sum(pos*tp/(tp+fp))/nullif(max(n_pos), 0), 0) AS ap FROM c GROUP BY model, fold), "
         f"pf AS (SELECT model, fold, ap, CAST({_f1('tp', 'fp', 'fn')} AS DOUBLE) AS f1, {_ratio('tp', 'tp+fp')} AS precision, "
         f"{_ratio('tp', 'tp+fn')} AS recall, {_ratio('tp+tn', 'tp+fp+fn+tn')} AS accuracy FROM m JOIN ap USING (model, fold)) "
-        "SELECT model, round(avg(f1), 6) AS mean_f1, round(avg(precision), 6) AS mean_precision, round(avg(recall), 6) AS mean_recall, "
-        "round(avg(accuracy), 6) AS mean_accuracy, round(avg(ap), 6) AS mean_average_precision FROM pf GROUP BY model",
+        "SELECT model, round(avg(f1), 9) AS mean_f1, round(avg(precision), 9) AS mean_precision, round(avg(recall), 9) AS mean_recall, "
+        "round(avg(accuracy), 9) AS mean_accuracy, round(avg(ap), 9) AS mean_average_precision FROM pf GROUP BY model",
     }
 
 

@@ -33,7 +33,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standin.transactions(spark, sf_dir)
+    return standin.transactions_table(spark, sf_dir)
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +242,7 @@ def single_feature(name: str) -> Query:
 def queries() -> dict[str, Query]:
     by_model = ["model"]
     registry: dict[str, Query] = {
+        "s01_derive_transactions": standin.transactions,
         "s01_read_transactions": s01_read_transactions,
         "s02_read_engineered": s02_read_engineered,
         "s03_write_table": s03_write_table,
@@ -342,7 +343,7 @@ def queries() -> dict[str, Query]:
         "m02_balanced_weights": lambda s, d: rounded(folds.balanced_weights(train(s, d)).select(ID, "weight")),
         "m03_stratified_folds": lambda s, d: folded(s, d).select(ID, LABEL, "fold"),
         "m04_fold_metrics": lambda s, d: rounded(
-            evaluate.fold_mean_metrics(folded_scores(s, d), at_half(), by_model)
+            evaluate.fold_mean_metrics(folded_scores(s, d), at_half(), by_model), 9
         ),
         "m08_weighted_blend": lambda s, d: rounded(
             score_table(s, d).select(ID, blend.weighted_blend(LOG_WEIGHTS).alias("blend"))

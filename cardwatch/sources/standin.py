@@ -6,11 +6,16 @@ the same shape, derived by Spark from the events (definition: FIXTURES.md).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cardwatch.functions.running import running_sums
-from cardwatch.schema import LABEL, RAW_COLUMNS, SPLIT
+from cardwatch.schema import LABEL, RAW_COLUMNS, SPLIT, TRAIN_SCHEMA
+from cardwatch.session import scratch_path
+from cardwatch.sources.tables import write_table
 
 # The event types stand in for the merchant categories.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -82,6 +87,26 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_velocity(base).selectExpr(*RAW_COLUMNS, SPLIT, f"{label} AS {LABEL}")
 
 
+_written: dict[tuple[str, str], str] = {}
+_writing = threading.Lock()
+
+
+def transactions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived transactions as a written table, as transaction files would be.
+
+    Derived once per application into the shared folder, one directory per split, so that queries
+    scan columns and splits they need instead of deriving the whole table again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _writing:
+        if key not in _written:
+            _written[key] = write_table(
+                transactions(spark, sf_dir), scratch_path(spark, "transactions"), partition_by=[SPLIT]
+            )
+    schema = StructType([*TRAIN_SCHEMA.fields, StructField(SPLIT, StringType())])
+    return spark.read.schema(schema).parquet(_written[key]).select(*RAW_COLUMNS, SPLIT, LABEL)
+
+
 def train_rows(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col(SPLIT) == "train").drop(SPLIT)
 

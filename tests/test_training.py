@@ -15,13 +15,12 @@ from cardwatch.operators import encode
 from cardwatch.plans import ensemble, training
 from cardwatch.plans.run import RunConfig, run
 from cardwatch.registry import learner_queries as lq
-from cardwatch.session import settle
 from cardwatch.sources import results_log, standin, tables
 
 
 @pytest.fixture(scope="module")
 def raw(spark, small):
-    tx = settle(standin.transactions(spark, small))
+    tx = standin.transactions_table(spark, small)
     return standin.train_rows(tx), standin.test_rows(tx)
 
 
