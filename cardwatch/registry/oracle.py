@@ -78,7 +78,8 @@ FOLD_SQL = (
 
 
 def r6(sql: str, name: str) -> str:
-    return f"round(CAST({sql} AS DOUBLE), 6) AS {name}"
+    """Rounded for comparison. A mean of cents can end exactly half-way at six digits, so means keep ten."""
+    return f"round(CAST({sql} AS DOUBLE), {10 if name.endswith('mean') else 6}) AS {name}"
 
 
 def union(parts: list[str]) -> str:
