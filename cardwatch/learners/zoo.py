@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
@@ -190,3 +190,8 @@ _ALL = [
 ]
 
 LEARNERS = {learner.name: learner for learner in _ALL}
+
+
+def notebook_variant(learner: Learner) -> Learner:
+    """The same learner with the notebook's search space and without scaling."""
+    return replace(learner, scaled=False, script_space=learner.notebook_space)

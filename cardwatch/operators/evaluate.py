@@ -127,12 +127,40 @@ def curve_counts(df: DataFrame, by: list[str], score: str = "score", label: str
         sums={"tp": "pos", "fp": "neg"},
         totals={"n_pos": "pos", "n_neg": "neg"},
         descending=True,
-    ).drop("bucket")
+    )
+
+
+def corners_only(curve: DataFrame, by: list[str]) -> DataFrame:
+    """Drop the points that lie on the straight line between their neighbours.
+
+    A point stays when the next score adds other counts than it does; the first and the last always
+    stay. The next score may sit in the next bucket, so each bucket gets that bucket's top counts as
+    one more row.
+    """
+    tops = curve.groupBy(*by, "bucket").agg(F.max_by(F.struct("pos", "neg"), "threshold").alias("top"))
+    downwards = Window.partitionBy(*by).orderBy(F.desc("bucket"))
+    following = tops.withColumn("top", F.lead("top").over(downwards)).select(
+        *by, "bucket", F.col("top.pos").alias("pos"), F.col("top.neg").alias("neg"), F.lit(1).alias("last")
+    )
+    inside = Window.partitionBy(*by, "bucket").orderBy("last", F.desc("threshold"))
+    looked_ahead = (
+        curve.withColumn("last", F.lit(0))
+        .unionByName(following, allowMissingColumns=True)
+        .withColumns({"next_pos": F.lead("pos").over(inside), "next_neg": F.lead("neg").over(inside)})
+        .filter(F.col("last") == 0)
+    )
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    turns = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
+    return looked_ahead.filter(first | F.col("next_pos").isNull() | turns).drop("last", "next_pos", "next_neg")
 
 
-def roc_points(df: DataFrame, by: list[str], score: str = "score", label: str = LABEL) -> DataFrame:
+def roc_points(
+    df: DataFrame, by: list[str], score: str = "score", label: str = LABEL, drop_collinear: bool = False
+) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score, with the leading corner at an infinite threshold."""
     curve = curve_counts(df, by, score, label)
+    if drop_collinear:
+        curve = corners_only(curve, by)
     points = curve.select(
         *by,
         ratio_or_zero(F.col("fp"), F.col("n_neg")).alias("fpr"),

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.learners.zoo import LEARNERS, Learner, Setting
+from cardwatch.learners.zoo import LEARNERS, Learner, Setting, notebook_variant
 from cardwatch.operators.evaluate import fold_mean_metrics, threshold_predict
 from cardwatch.operators.folds import stratified_folds
 from cardwatch.schema import ID, LABEL
@@ -96,7 +96,7 @@ def cross_validate(
     learner: Learner, params: dict, folded: DataFrame, features: list[str], parallelism: int = 4
 ) -> DataFrame:
     """F1, precision, recall, accuracy and average precision per fold, averaged: one row."""
-    oof = oof_predict(learner, params, folded, features, parallelism)
+    oof = settle(oof_predict(learner, params, folded, features, parallelism))
     return fold_mean_metrics(oof, F.col("prediction"), [])
 
 
@@ -164,5 +164,8 @@ def predictions(scored: DataFrame, threshold: float | None = None) -> DataFrame:
     return scored.select(ID, label.cast("int").alias(LABEL))
 
 
-def learner(name: str) -> Learner:
+def learner(name: str, preset: str = "script") -> Learner:
+    """A learner by name, in one of the two presets: ``script`` or ``notebook``."""
+    if preset == "notebook":
+        return notebook_variant(LEARNERS[name])
     return LEARNERS[name]

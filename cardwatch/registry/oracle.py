@@ -507,6 +507,11 @@ def _evaluate() -> dict[str, str]:
         "e05_roc_points": f"WITH {SC}, {_curve('lo')} SELECT model, round({_ratio('fp', 'n_neg')}, 6) AS fpr, "
         f"round({_ratio('tp', 'n_pos')}, 6) AS tpr, round(score, 6) AS threshold FROM c "
         "UNION ALL SELECT DISTINCT model, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST('inf' AS DOUBLE) FROM lo",
+        "e05_roc_corners": f"WITH {SC}, {_curve('lo')}, n AS (SELECT *, lead(pos) OVER w AS np, lead(neg) OVER w AS nn, "
+        "row_number() OVER w AS i FROM c WINDOW w AS (PARTITION BY model ORDER BY score DESC)) "
+        f"SELECT model, round({_ratio('fp', 'n_neg')}, 6) AS fpr, round({_ratio('tp', 'n_pos')}, 6) AS tpr, "
+        "round(score, 6) AS threshold FROM n WHERE i = 1 OR np IS NULL OR np <> pos OR nn <> neg "
+        "UNION ALL SELECT DISTINCT model, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST('inf' AS DOUBLE) FROM lo",
         "e06_roc_auc": f"WITH {SC}, {_curve('lo')} SELECT model, round(sum(neg*(tp-pos/2.0))/(max(n_pos)*max(n_neg)), 6) AS roc_auc "
         "FROM c GROUP BY model",
         "e07_pr_points": f"WITH {SC}, {_curve('lo')} SELECT model, round({_ratio('tp', 'tp+fp')}, 6) AS precision, "

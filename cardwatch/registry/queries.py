@@ -371,6 +371,7 @@ def queries() -> dict[str, Query]:
             evaluate.classification_report(long_oof(s, d), at_half(), by_model)
         ),
         "e05_roc_points": lambda s, d: rounded(evaluate.roc_points(long_oof(s, d), by_model)),
+        "e05_roc_corners": lambda s, d: rounded(evaluate.roc_points(long_oof(s, d), by_model, drop_collinear=True)),
         "e06_roc_auc": lambda s, d: rounded(evaluate.roc_auc(long_oof(s, d), by_model)),
         "e07_pr_points": lambda s, d: rounded(evaluate.pr_points(long_oof(s, d), by_model)),
         "e08_average_precision": lambda s, d: rounded(evaluate.average_precision(long_oof(s, d), by_model)),

@@ -186,6 +186,24 @@ def test_whole_run(spark, raw, tmp_path):
     assert (tmp_path / "submission").exists() == result.valid
 
 
+def test_notebook_preset_votes_among_the_best(raw):
+    members = ["LogisticRegression", "RandomForest", "GaussianNB"]
+    config = RunConfig(
+        preset="notebook",
+        vote_top=2,
+        stack_members=members,
+        vote_members=[],
+        merchants=standin.EVENT_TYPES,
+        params={m: lq.BUDGETS[m] for m in members},
+        folds=3,
+        weight_trials=5,
+    )
+    result = run(*raw, config)
+    vote = result.log.filter("Model_Name = 'Ensemble_SoftVoting'").first()
+    assert vote["Best_Parameters"].count(":") == 2
+    assert not training.learner("LogisticRegression", "notebook").scaled
+
+
 def test_engineered_table_hides_the_test_label(raw):
     table = encode.preprocess(*raw, standin.EVENT_TYPES)
     assert table.filter((F.col("split") == "test") & F.col("is_fraud").isNotNull()).count() == 0
