@@ -130,6 +130,11 @@ def curve_counts(df: DataFrame, by: list[str], score: str = "score", label: str
     )
 
 
+def _is_first() -> Column:
+    """Is this the row of the highest score?"""
+    return (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+
+
 def corners_only(curve: DataFrame, by: list[str]) -> DataFrame:
     """Drop the points that lie on the straight line between their neighbours.
 
@@ -149,9 +154,8 @@ def corners_only(curve: DataFrame, by: list[str]) -> DataFrame:
         .withColumns({"next_pos": F.lead("pos").over(inside), "next_neg": F.lead("neg").over(inside)})
         .filter(F.col("last") == 0)
     )
-    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     turns = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-    return looked_ahead.filter(first | F.col("next_pos").isNull() | turns).drop("last", "next_pos", "next_neg")
+    return looked_ahead.filter(_is_first() | F.col("next_pos").isNull() | turns).drop("last", "next_pos", "next_neg")
 
 
 def roc_points(
@@ -161,14 +165,13 @@ def roc_points(
     curve = curve_counts(df, by, score, label)
     if drop_collinear:
         curve = corners_only(curve, by)
-    points = curve.select(
-        *by,
+    point = F.struct(
         ratio_or_zero(F.col("fp"), F.col("n_neg")).alias("fpr"),
         ratio_or_zero(F.col("tp"), F.col("n_pos")).alias("tpr"),
         "threshold",
     )
-    corner = df.groupBy(*by).agg(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return points.unionByName(corner.withColumn("threshold", F.lit(float("inf"))))
+    corner = F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
+    return curve.select(*by, F.inline(F.when(_is_first(), F.array(corner, point)).otherwise(F.array(point))))
 
 
 def roc_auc(df: DataFrame, by: list[str], score: str = "score", label: str = LABEL) -> DataFrame:
@@ -184,14 +187,15 @@ def roc_auc(df: DataFrame, by: list[str], score: str = "score", label: str = LAB
 def pr_points(df: DataFrame, by: list[str], score: str = "score", label: str = LABEL) -> DataFrame:
     """(precision, recall, threshold) per distinct score and the closing point (1, 0)."""
     curve = curve_counts(df, by, score, label)
-    points = curve.select(
-        *by,
+    point = F.struct(
         precision(F.col("tp"), F.col("fp")).alias("precision"),
         ratio_or_zero(F.col("tp"), F.col("n_pos")).alias("recall"),
         "threshold",
     )
-    closing = df.groupBy(*by).agg(F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return points.unionByName(closing.withColumn("threshold", F.lit(None).cast("double")))
+    closing = F.struct(
+        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold")
+    )
+    return curve.select(*by, F.inline(F.when(_is_first(), F.array(point, closing)).otherwise(F.array(point))))
 
 
 def average_precision(df: DataFrame, by: list[str], score: str = "score", label: str = LABEL) -> DataFrame:
@@ -230,9 +234,16 @@ def threshold_sweep(df: DataFrame, by: list[str], score: str = "score", label: s
         df.groupBy(*by, thresholds_reached(F.col(score)).alias("reached"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    empty = reached.groupBy(*by).agg(F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"))
-    every = empty.withColumn("reached", F.explode(F.sequence(F.lit(0), F.lit(GRID_SIZE))))
-    counts = reached.unionByName(every).groupBy(*by, "reached").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # At most 100 entries per group; classes nobody falls into count zero.
+    cells = F.map_from_entries(F.collect_list(F.struct("reached", F.struct("pos", "neg"))))
+    every = reached.groupBy(*by).agg(cells.alias("cells")).withColumn("reached", F.explode(F.sequence(F.lit(0), F.lit(GRID_SIZE))))
+    cell = F.try_element_at("cells", F.col("reached"))
+    counts = every.select(
+        *by,
+        "reached",
+        F.coalesce(cell["pos"], F.lit(0)).alias("pos"),
+        F.coalesce(cell["neg"], F.lit(0)).alias("neg"),
+    )
     group = Window.partitionBy(*by)
     upwards = group.orderBy(F.desc("reached")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cumulated = counts.select(

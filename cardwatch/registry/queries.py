@@ -71,12 +71,14 @@ def oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_table(spark, sf_dir).filter(F.col(SPLIT) == "train")
 
 
-def long_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.long_scores(score_table(spark, sf_dir), SCORES, [ID, SPLIT, LABEL])
+def long_of(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
+    """Scores of one split, one row per model. The split is chosen first, so only its files are read."""
+    wide = score_table(spark, sf_dir).filter(F.col(SPLIT) == split).drop(SPLIT)
+    return evaluate.long_scores(wide, SCORES, [ID, LABEL])
 
 
 def long_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_all(spark, sf_dir).filter(F.col(SPLIT) == "train")
+    return long_of(spark, sf_dir, "train")
 
 
 def at_half() -> Column:
@@ -381,7 +383,7 @@ def queries() -> dict[str, Query]:
         "e12_threshold_at": lambda s, d: rounded(evaluate.threshold_at(sweep(s, d), by_model, [0.5, 0.3])),
         "e13_strategy_table": lambda s, d: rounded(evaluate.strategy_table(long_oof(s, d), by_model)),
         "e14_prediction_summary": lambda s, d: rounded(
-            evaluate.prediction_summary(long_all(s, d).filter(F.col(SPLIT) == "test"), by_model, [0.5, 0.3])
+            evaluate.prediction_summary(long_of(s, d, "test"), by_model, [0.5, 0.3])
         ),
         "e15_submission": blended_submission,
         "e15_submission_aggressive": lambda s, d: blended_submission(s, d, 0.3),
