@@ -24,8 +24,12 @@ AGGRESSIVE = ("Aggressive (0.3)", 0.3)
 
 
 def long_scores(wide: DataFrame, models: list[str], keep: list[str]) -> DataFrame:
-    """One score column per model -> one row per model."""
-    return wide.unpivot(keep, models, "model", "score")
+    """One score column per model -> one row per model.
+
+    Inlined rather than unpivoted: two readers of an unpivot do not share its shuffle.
+    """
+    pairs = [F.struct(F.lit(m).alias("model"), F.col(m).alias("score")) for m in models]
+    return wide.select(*keep, F.inline(F.array(*pairs)))
 
 
 def threshold_predict(score: Column, threshold: float | Column = 0.5, mode: str = "at_least") -> Column:
@@ -114,9 +118,15 @@ def curve_counts(df: DataFrame, by: list[str], score: str = "score", label: str
     work bucket by bucket.
     """
     y = F.col(label)
+
+    def rows(condition: Column) -> Column:
+        # Written as a sum: count_if names a helper column anew each time it is planned, and then
+        # the two readers of this table would not share its shuffle.
+        return F.sum(F.when(condition, 1).otherwise(0))
+
     distinct = (
         df.groupBy(*by, F.col(score).cast("double").alias("threshold"))
-        .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
+        .agg(rows(y == 1).alias("pos"), rows(y == 0).alias("neg"))
         .withColumn("bucket", score_bucket(F.col("threshold")))
     )
     return running_sums(
