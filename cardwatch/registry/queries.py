@@ -14,7 +14,7 @@ from cardwatch.functions import features as fx
 from cardwatch.operators import blend, distribution, encode, evaluate, folds, profile, quality
 from cardwatch.operators import submission as sub
 from cardwatch.registry.learner_queries import learner_queries
-from cardwatch.registry.oracle import CORRELATED, FEATURES, LOG_THRESHOLDS, LOG_WEIGHTS, SCORES, TRIALS
+from cardwatch.registry.oracle import CORRELATED, ENGINEERED_SQL, FEATURES, LOG_THRESHOLDS, LOG_WEIGHTS, SCORES, TRIALS
 from cardwatch.schema import BINARY, ID, LABEL, NUMERIC, RAW_COLUMNS, RAW_FEATURES, SPLIT, one_hot_names
 from cardwatch.session import scratch_path
 from cardwatch.sources import results_log, standin, tables
@@ -327,7 +327,7 @@ def queries() -> dict[str, Query]:
         ),
     }
     registry |= {
-        f"f{i:02d}_{name}": single_feature(name) for i, name in enumerate(fx.engineered_columns(), start=1)
+        f"f{i:02d}_{name}": single_feature(name) for i, name in enumerate(ENGINEERED_SQL, start=1)
     }
     registry |= {
         "f09_one_hot": lambda s, d: encoded(tx(s, d)).select(ID, *one_hot_names(standin.EVENT_TYPES)),
