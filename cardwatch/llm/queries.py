@@ -4,15 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import exact_dedup, license_scan, quality_rules
+from cardwatch.llm import bpe, exact_dedup, license_scan, packing, quality_rules
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode(documents(spark, sf_dir), ranks=ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_duplicates(documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -41,9 +52,15 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op4_byte_bpe": op4_byte_bpe,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
