@@ -145,23 +145,29 @@ def judge(
     has zero counts and fails the word minimum; ties with a threshold pass. A column named ``quality`` is replaced, other
     columns of any name stay; an empty table gives an empty result.
     """
+    held = _judged(docs, text_col, base, rules)
+    return held.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c != "quality"], "quality")
+
+
+def _judged(docs: DataFrame, text_col: str, base: tuple[Rule, ...], rules: tuple[Rule, ...]) -> DataFrame:
+    """The rows as one struct ``__row``, so that no column of theirs meets a measure, beside their ``quality``."""
     any_of = lambda table: reduce(or_, [compiled(r) for r in table], F.lit(False))
     names = F.filter(
         F.array(*[F.when(compiled(r), F.lit(r.name)) for r in (*base, *rules)]), lambda x: x.isNotNull()
     )
-    measured = docs.withColumns(measures(F.col(text_col)))
-    return measured.withColumn(
-        "quality",
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    measured = docs.select(row, *[m.alias(c) for c, m in measures(F.col(text_col)).items()])
+    return measured.select(
+        "__row",
         F.struct(
             *[F.col(at).alias(m) for m, at in MEASURES.items()],
             names.alias("failed"),
             any_of(base).alias("base_failed"),
             (~any_of((*base, *rules))).alias("kept"),
-        ),
-    ).drop("__words", "__lines", "__word_chars", "__n_symbols", "__n_marks")
+        ).alias("quality"),
+    )
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their own columns only."""
-    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), docs[text_col].alias("__text"))
-    return judge(held, text_col="__text").filter("quality.kept").select("__row.*")
+    return _judged(docs, text_col, BASE_RULES, RATIO_RULES).filter("quality.kept").select("__row.*")

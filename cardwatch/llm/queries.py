@@ -8,12 +8,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, license_scan, packing, quality_rules
+from cardwatch.llm import bpe, exact_dedup, language, license_scan, packing, personal, quality_rules
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(documents(spark, sf_dir).select("doc_id", "text"))
+    line = lambda p: F.concat_ws(":", p["kind"], p["start"].cast("string"), p["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, line), ",")
+    of_kind = lambda kind: F.size(F.filter("personal", lambda p: p["kind"] == kind)).cast("long")
+    base = F.filter("personal", lambda p: p["kind"].isin(*personal.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[of_kind(kind).alias(f"n_{kind}") for kind in personal.BASE_KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("personal")).alias("spans"),
+    )
+
+
+#: At most this many labelled documents of each language train the language model.
+LANGUAGE_SAMPLE = 400
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    labelled = docs.filter(~language.held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sample = language.bounded_sample(labelled, LANGUAGE_SAMPLE, id_col="doc_id", lang_col="lang")
+    texts = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language.predict(texts, language.fit(sample)).drop("text")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(documents(spark, sf_dir), ranks=ranks).select(
@@ -58,6 +84,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_personal_data": op1_personal_data,
+        "op3_language_id": op3_language_id,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_quality_rules": op8_quality_rules,
