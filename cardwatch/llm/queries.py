@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, language, license_scan, packing, personal, quality_rules
+from cardwatch.llm import bpe, exact_dedup, language, license_scan, near_dups, packing, personal, quality_rules
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -88,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op3_language_id": op3_language_id,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_minhash_near_dups": op6_minhash_near_dups,
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,

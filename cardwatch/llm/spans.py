@@ -99,3 +99,41 @@ def distinct_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each pair, one after the other."""
     return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def folded_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between blanks, with A-Z lower-cased: (folded bytes, starts, lengths, index of each text's first word)."""
+    data = _FOLD[chunk.data]
+    inside = ~_BLANK[data[: chunk.size]]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edge = chunk.offsets[:-1]
+    edge = edge[edge < chunk.size]
+    first[edge] = inside[edge]
+    last = np.zeros(len(inside), bool)
+    last[:-1] = inside[:-1] & (~inside[1:] | first[1:])
+    last[-1:] = inside[-1:]
+    starts = np.flatnonzero(first)
+    return data, starts, np.flatnonzero(last) + 1 - starts, np.searchsorted(starts, chunk.offsets)
+
+
+def gram_hashes(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``n`` words of each text, and where each text's hashes start.
+
+    A text with fewer words, but at least one, has one run: all its words.
+    """
+    count = np.diff(bounds)
+    at = ranges(bounds[:-1], np.where(count >= n, count - n + 1, np.minimum(count, 1)))
+    size = np.minimum(count, n)
+    of = np.repeat(size, np.where(count >= n, count - n + 1, np.minimum(count, 1)))
+    h = of.astype(np.uint64) * _K2
+    for k in range(n):
+        here = of > k
+        h[here] = mix(h[here] * _K1 + words[at[here] + k])
+    return h, np.append(0, np.cumsum(np.where(count >= n, count - n + 1, np.minimum(count, 1))))
