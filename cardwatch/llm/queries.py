@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, language, license_scan, near_dups, packing, personal, quality_rules
+from cardwatch.llm import bpe, exact_dedup, language, license_scan, near_dups, packing, personal, quality_rules, suffix_dedup
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,17 @@ def op6_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -93,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op4_byte_bpe": op4_byte_bpe,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_minhash_near_dups": op6_minhash_near_dups,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
