@@ -8,6 +8,37 @@ from cardwatch.llm.shared import LOWER, UPPER
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
 
+OP2 = f"""
+WITH t AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS c, generate_subscripts(words, 1) AS i FROM t),
+g AS (SELECT doc_id, i, c, lag(c) OVER o AS b, lag(c, 2) OVER o AS a FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+d1 AS (SELECT doc_id, c, count(*) AS own FROM g GROUP BY ALL),
+d2 AS (SELECT doc_id, b, c, count(*) AS own FROM g WHERE b IS NOT NULL GROUP BY ALL),
+d3 AS (SELECT doc_id, a, b, c, count(*) AS own FROM g WHERE a IS NOT NULL GROUP BY ALL),
+c1 AS (SELECT *, sum(own) OVER (PARTITION BY c) - own AS other FROM d1),
+c2 AS (SELECT *, sum(own) OVER (PARTITION BY b, c) - own AS other FROM d2),
+c3 AS (SELECT *, sum(own) OVER (PARTITION BY a, b, c) - own AS other FROM d3),
+s AS (SELECT g.doc_id, i, (SELECT count(*) FROM w) - count(*) OVER (PARTITION BY g.doc_id) AS rest,
+             x.other::DOUBLE AS o1, y.other::DOUBLE AS o2, z.other::DOUBLE AS o3,
+             x1.other::DOUBLE AS before1, y1.other::DOUBLE AS before2
+      FROM g JOIN c1 x ON x.doc_id = g.doc_id AND x.c = g.c
+      LEFT JOIN c2 y ON y.doc_id = g.doc_id AND y.b = g.b AND y.c = g.c
+      LEFT JOIN c3 z ON z.doc_id = g.doc_id AND z.a = g.a AND z.b = g.b AND z.c = g.c
+      LEFT JOIN c1 x1 ON x1.doc_id = g.doc_id AND x1.c = g.b
+      LEFT JOIN c2 y1 ON y1.doc_id = g.doc_id AND y1.b = g.a AND y1.c = g.b),
+v1 AS (SELECT *, CASE WHEN o1 > 0 THEN o1 / rest ELSE 1 / (rest + 1)::DOUBLE END AS v FROM s),
+v2 AS (SELECT * EXCLUDE v, CASE WHEN o2 > 0 THEN o2 / before1 WHEN i > 1 THEN 0.4::DOUBLE * v ELSE v END AS v FROM v1),
+v3 AS (SELECT *, CASE WHEN o3 > 0 THEN o3 / before2 WHEN i > 2 THEN 0.4::DOUBLE * v ELSE v END AS value FROM v2),
+n AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (o3 > 0) AS n_3grams,
+             count(*) FILTER (o2 > 0 AND NOT coalesce(o3 > 0, false)) AS n_2grams,
+             count(*) FILTER (NOT coalesce(o2 > 0, false) AND NOT coalesce(o3 > 0, false)) AS n_1grams,
+             count(*) FILTER (o1 = 0) AS n_unseen, sum(round(ln(value) * 1000000)::BIGINT)::BIGINT AS log_sum
+      FROM v3 GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_1grams, 0) AS n_1grams, coalesce(n_2grams, 0) AS n_2grams,
+       coalesce(n_3grams, 0) AS n_3grams, coalesce(n_unseen, 0) AS n_unseen, log_sum / 1000000::DOUBLE / n_words AS score
+FROM t LEFT JOIN n USING (doc_id)
+"""
+
 OP5 = f"""
 WITH t AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
@@ -74,4 +105,4 @@ FROM t LEFT JOIN g USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op8_quality_rules": OP8, "op9_license_scan": _licences()}
+    return {"op2_lm_scoring": OP2, "op5_exact_dedup": OP5, "op8_quality_rules": OP8, "op9_license_scan": _licences()}

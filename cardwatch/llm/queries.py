@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, language, license_scan, near_dups, packing, personal, quality_rules, suffix_dedup
+from cardwatch.llm import bpe, exact_dedup, language, license_scan, lm_scoring, near_dups, packing, personal, quality_rules, suffix_dedup
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score(documents(spark, sf_dir))
+    by_order = [F.get("n_by_order", n).alias(f"n_{n + 1}grams") for n in range(lm_scoring.ORDER)]
+    return scored.select("doc_id", "n_words", *by_order, "n_unseen", "score")
+
+
 #: At most this many labelled documents of each language train the language model.
 LANGUAGE_SAMPLE = 400
 
@@ -100,6 +106,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_personal_data": op1_personal_data,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_language_id": op3_language_id,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_exact_dedup": op5_exact_dedup,
