@@ -7,9 +7,10 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from cardwatch.llm import exact_dedup, quality_rules  # noqa: E402
+from cardwatch.llm import exact_dedup, near_dups, packing, personal, quality_rules  # noqa: E402
 from cardwatch.llm.shared import documents, write_once  # noqa: E402
 
 
@@ -21,9 +22,27 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_duplicates(docs)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dups.keep_one_of_each(docs)
 
-# Byte-pair encoding, anchored parsing and packing are not expressible in SQL.
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return personal.redact_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("exact dedup", exact),
+    ("near dedup", near),
+    ("personal data", private),
+    ("packing", pack),
+]
+
+# Signatures, anchored parsing and packing are not expressible in SQL; tests/llm checks the rows by brute force.
 ORACLE_SQL = None
 
 
