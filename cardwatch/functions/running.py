@@ -23,11 +23,12 @@ def value_bucket(value: Column) -> Column:
 
 
 def score_bucket(score: Column) -> Column:
-    """As ``value_bucket``, with fine steps near 0 and near 1, where probabilities gather."""
+    """As ``value_bucket``, with fine steps near 0 and near 1, where probabilities gather. Null is below every score."""
     s = score.cast("double")
     beyond = 4 * _SIGN_OFFSET
     return (
-        F.when(s <= 0, value_bucket(s) - beyond)
+        F.when(s.isNull(), F.lit(-4 * beyond).cast("long"))
+        .when(s <= 0, value_bucket(s) - beyond)
         .when(s < 1, value_bucket(s / (F.lit(1.0) - s)))
         .otherwise(value_bucket(s) + beyond)
     )

@@ -82,6 +82,10 @@ def search_weights(oof: DataFrame, members: list[str], trials: list[list[float]]
     )
 
 
+#: Ends the log name of a model's means over folds; the plain name has the metrics over all rows at once.
+FOLD_MEAN = " (mean of folds)"
+
+
 def best_trial(trials: DataFrame) -> DataFrame:
     """The first trial of maximal F1."""
     best = F.max_by(F.struct(*trials.columns), F.struct(F.col("f1"), -F.col("trial")))
@@ -116,8 +120,8 @@ def leaderboard(log: DataFrame) -> DataFrame:
 
 
 def pick_top_models(log: DataFrame, k: int = 5) -> DataFrame:
-    """The best ``k`` single models, without the ensemble."""
-    single = latest_runs(log).filter(F.col("Model_Name") != ENSEMBLE_NAME)
+    """The best ``k`` single models, without the ensemble and without rows of fold means."""
+    single = latest_runs(log).filter((F.col("Model_Name") != ENSEMBLE_NAME) & ~F.col("Model_Name").endswith(FOLD_MEAN))
     return single.orderBy(F.desc("CV_F1_Score"), "Model_Name").limit(k).select("Model_Name", "CV_F1_Score")
 
 

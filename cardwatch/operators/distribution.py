@@ -24,10 +24,10 @@ _CELLS = 4096
 
 
 def long_values(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Rows (by..., feature, value). Nulls are left out, as in pandas."""
+    """Rows (by..., feature, value). Nulls and NaN are left out, as in pandas."""
     by = by or []
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(by, columns, "feature", "value")
-    return long.filter(F.col("value").isNotNull())
+    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
@@ -100,7 +100,11 @@ def moments(df: DataFrame, columns: list[str], by: list[str] | None = None) -> D
     by = by or []
     kinds = {"count": "count", "mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
     stats = df.groupBy(*by).agg(
-        *[F.expr(f"{f}(CAST(`{c}` AS DOUBLE))").alias(f"{n}_{c}") for c in columns for n, f in kinds.items()]
+        *[
+            F.expr(f"{f}(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)))").alias(f"{n}_{c}")
+            for c in columns
+            for n, f in kinds.items()
+        ]
     )
     return long_row(stats, by, {c: {n: F.col(f"{n}_{c}") for n in kinds} for c in columns}, "feature")
 
@@ -208,7 +212,15 @@ def split_drift(df: DataFrame, columns: list[str], by: str = "split") -> DataFra
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact number of distinct non-null values per column; each value travels once, as text."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    """Exact number of distinct values per column, without null and NaN; each value travels once, as text."""
+
+    def text(c: str) -> Column:
+        value = F.col(c)
+        if df.schema[c].dataType.simpleString() in ("double", "float"):
+            # Both zeros are one value.
+            value = F.when(value == 0, F.lit(0.0)).when(~F.isnan(value), value)
+        return value.cast("string").alias(c)
+
+    long = df.select(*[text(c) for c in columns]).unpivot([], columns, "column_name", "value")
     seen = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.lit(1).alias("one"))
     return seen.groupBy("column_name").agg(F.count("one").alias("n_unique"))

@@ -35,6 +35,20 @@ def one_hot(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
     return df.withColumns(encoded).drop(*columns)
 
 
+def unknown_categories(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """(column_name, value, n): values that ``one_hot`` has no column for, null included."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), F.col(c).isin(v).alias("fits")) for c, v in columns.items()]
+    long = df.select(F.inline(F.array(*pairs))).filter(~F.coalesce("fits", F.lit(False)))
+    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def require_known_categories(df: DataFrame, columns: dict[str, list[str]]) -> None:
+    """Raise when a category would be encoded as all zeros; the message names the most frequent ones."""
+    unknown = unknown_categories(df, columns).orderBy(F.desc("n"), "value").limit(10).collect()
+    if unknown:
+        raise ValueError("no column for " + ", ".join(f"{r['column_name']}={r['value']} ({r['n']} rows)" for r in unknown))
+
+
 def bool_to_int(df: DataFrame) -> DataFrame:
     return df.withColumns({f.name: F.col(f.name).cast("int") for f in df.schema if f.dataType.simpleString() == "boolean"})
 

@@ -2,6 +2,8 @@
 
 Scored rows are long: one row per (model, transaction) with a label and a score. ``by`` names the
 columns that keep models (or folds) apart.
+
+A missing score (null or NaN) is below every score: no threshold is reached, and curves count the row last.
 """
 
 from __future__ import annotations
@@ -32,9 +34,15 @@ def long_scores(wide: DataFrame, models: list[str], keep: list[str]) -> DataFram
     return wide.select(*keep, F.inline(F.array(*pairs)))
 
 
+def known(score: Column) -> Column:
+    """The score as a double, null where it is missing."""
+    return F.nanvl(score.cast("double"), F.lit(None).cast("double"))
+
+
 def threshold_predict(score: Column, threshold: float | Column = 0.5, mode: str = "at_least") -> Column:
     """1 from the threshold on (``at_least``) or only above it (``above``, the vote's arg-max rule)."""
     limit = threshold if isinstance(threshold, Column) else F.lit(threshold)
+    score = known(score)
     hit = score >= limit if mode == "at_least" else score > limit
     return F.when(hit, 1).otherwise(0)
 
@@ -125,7 +133,7 @@ def curve_counts(df: DataFrame, by: list[str], score: str = "score", label: str
         return F.sum(F.when(condition, 1).otherwise(0))
 
     distinct = (
-        df.groupBy(*by, F.col(score).cast("double").alias("threshold"))
+        df.groupBy(*by, known(F.col(score)).alias("threshold"))
         .agg(rows(y == 1).alias("pos"), rows(y == 0).alias("neg"))
         .withColumn("bucket", score_bucket(F.col("threshold")))
     )
@@ -152,7 +160,8 @@ def corners_only(curve: DataFrame, by: list[str]) -> DataFrame:
     stay. The next score may sit in the next bucket, so each bucket gets that bucket's top counts as
     one more row.
     """
-    tops = curve.groupBy(*by, "bucket").agg(F.max_by(F.struct("pos", "neg"), "threshold").alias("top"))
+    height = F.coalesce("threshold", F.lit(float("-inf")))
+    tops = curve.groupBy(*by, "bucket").agg(F.max_by(F.struct("pos", "neg"), height).alias("top"))
     downwards = Window.partitionBy(*by).orderBy(F.desc("bucket"))
     following = tops.withColumn("top", F.lead("top").over(downwards)).select(
         *by, "bucket", F.col("top.pos").alias("pos"), F.col("top.neg").alias("neg"), F.lit(1).alias("last")
@@ -225,6 +234,7 @@ def grid_threshold(i: Column) -> Column:
 
 def thresholds_reached(score: Column) -> Column:
     """How many grid thresholds a score reaches: a guess by division, corrected on the grid itself."""
+    score = F.coalesce(known(score), F.lit(0.0))
     guess = F.greatest(F.least(F.floor(score * 100), F.lit(GRID_SIZE)) - 2, F.lit(0))
     reached = guess
     for offset in range(4):
@@ -308,7 +318,7 @@ def threshold_at(sweep: DataFrame, by: list[str], targets: list[float]) -> DataF
 def strategy_table(df: DataFrame, by: list[str], score: str = "score", label: str = LABEL) -> DataFrame:
     """Standard, aggressive and F1-optimal thresholds side by side."""
     columns = ["threshold", "f1", "precision", "recall", "fp", "fn"]
-    s = F.col(score)
+    s = F.coalesce(known(F.col(score)), F.lit(float("-inf")))
     y = F.col(label)
     fixed = [STANDARD, AGGRESSIVE]
     counts = df.groupBy(*by).agg(
@@ -338,7 +348,7 @@ def prediction_summary(df: DataFrame, by: list[str], thresholds: list[float], sc
     """How many rows each threshold flags."""
     counts = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col(score) >= t).alias(f"n{i}") for i, t in enumerate(thresholds)],
+        *[F.count_if(known(F.col(score)) >= t).alias(f"n{i}") for i, t in enumerate(thresholds)],
     )
     rows = [
         F.struct(

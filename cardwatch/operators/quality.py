@@ -15,9 +15,15 @@ def long_row(stats: DataFrame, keys: list[str], items: dict[str, dict[str, Colum
     return stats.select(*keys, F.inline(F.array(*rows)))
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    null = F.col(column).isNull()
+    return null | F.isnan(column) if df.schema[column].dataType.simpleString() in ("double", "float") else null
+
+
 def null_counts(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Missing values per column; NaN is missing as well."""
     by = by or []
-    stats = df.groupBy(*by).agg(*[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns])
+    stats = df.groupBy(*by).agg(*[F.count_if(missing(df, c)).alias(f"n_{c}") for c in columns])
     return long_row(stats, by, {c: {"nulls": F.col(f"n_{c}")} for c in columns})
 
 

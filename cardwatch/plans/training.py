@@ -10,8 +10,10 @@ from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.errors import IllegalArgumentException
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from cardwatch.learners.zoo import LEARNERS, Learner, Setting, notebook_variant
 from cardwatch.operators.evaluate import fold_mean_metrics, threshold_predict
 from cardwatch.operators.folds import stratified_folds
 from cardwatch.schema import ID, LABEL
-from cardwatch.session import settle
+from cardwatch.session import settle, settled
 
 
 def feature_matrix(df: DataFrame, features: list[str]) -> DataFrame:
@@ -29,7 +31,7 @@ def feature_matrix(df: DataFrame, features: list[str]) -> DataFrame:
 
 def training_table(train: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """The engineered train rows with their folds, written once and read by every fit."""
-    return settle(stratified_folds(train, k, seed))
+    return settle(stratified_folds(train, k, seed), partition_by=["fold"])
 
 
 def class_counts(folded: DataFrame) -> dict[int, tuple[int, int]]:
@@ -54,13 +56,22 @@ def fit(learner: Learner, params: dict, train: DataFrame, features: list[str], n
     column = "features"
     if learner.scaled:
         column = "scaled_features"
-        stages.append(StandardScaler(inputCol="features", outputCol=column, withMean=True, withStd=True))
+        stages += population_scaler("features", column, n0 + n1, len(features))
     setting = Setting(len(features), n0 * by_class[0] + n1 * by_class[1], column)
     stages.append(learner.build(params, setting))
     weighted = train.withColumn("weight", F.when(F.col(LABEL) == 1, by_class[1]).otherwise(by_class[0]))
     return Pipeline(stages=stages).fit(weighted)
 
 
+def population_scaler(inputs: str, output: str, rows: int, width: int) -> list:
+    """Stages that z-score a vector by the population deviation; the built-in one divides by the sample deviation."""
+    ratio = math.sqrt(rows / max(1, rows - 1))
+    return [
+        StandardScaler(inputCol=inputs, outputCol=f"{output}_sample", withMean=True, withStd=True),
+        ElementwiseProduct(inputCol=f"{output}_sample", outputCol=output, scalingVec=Vectors.dense([ratio] * width)),
+    ]
+
+
 def positive_score(scored: DataFrame) -> Column:
     """Probability of class 1; without one the decision value, without that the label."""
     if "probability" in scored.columns:
@@ -135,17 +146,21 @@ def tune(
     for trial in range(n_trials):
         params = draw(space or learner.script_space, rng) | (fixed or {})
         try:
-            f1 = cross_validate(learner, params, folded, features, parallelism).first()["mean_f1"]
-            error = None
-        except Exception as failure:  # noqa: BLE001
-            f1, error = 0.0, str(failure)[:500]
+            with settled(oof_predict(learner, params, folded, features, parallelism)) as oof:
+                f1, error = fold_mean_metrics(oof, F.col("prediction"), []).first()["mean_f1"], None
+        except (IllegalArgumentException, ValueError) as failure:
+            # Parameters that cannot be fitted. Anything else, such as a lost executor, ends the search.
+            f1, error = 0.0, str(failure)
         rows.append((trial, json.dumps(params), float(f1), error))
     return folded.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double, error string")
 
 
 def best_params(trials: DataFrame) -> dict:
-    """Parameters of the first trial of maximal F1."""
-    return json.loads(trials.orderBy(F.desc("mean_f1"), "trial").first()["params"])
+    """Parameters of the first trial of maximal F1 among those that could be fitted."""
+    best = trials.filter(F.col("error").isNull()).orderBy(F.desc("mean_f1"), "trial").first()
+    if best is None:
+        raise ValueError("no trial could be fitted")
+    return json.loads(best["params"])
 
 
 def fit_final(learner: Learner, params: dict, train: DataFrame, features: list[str]) -> PipelineModel:

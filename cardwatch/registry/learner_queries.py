@@ -166,7 +166,8 @@ def s06_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = learning_rows(spark, sf_dir)
     path = scratch_path(spark, "artifacts")
     artifacts.save_models(ensemble.member_models({n: BUDGETS[n] for n in names}, learn, FEATURES), path)
-    artifacts.save_settings(spark, {n: 0.5 for n in names}, 0.5, path)
+    equal = artifacts.Ensemble("equal", tuple(names), (0.5,) * len(names), 0.5, "at_least")
+    artifacts.save_settings(spark, [equal], "equal", path)
     loaded = artifacts.load_models(names, path)
     wide = ensemble.member_scores(loaded, engineered(test))
     return wide.select(ID, *[F.round(n, 6).alias(n) for n in names])

@@ -8,11 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cardwatch import session
 from cardwatch.functions import features as fx
 from cardwatch.functions.ratios import correlation
 from cardwatch.functions.running import running_sums, score_bucket, value_bucket
 from cardwatch.operators import blend, distribution, encode, evaluate, folds, profile, quality
 from cardwatch.operators import submission as sub
+from cardwatch.schema import TRAIN_SCHEMA
+from cardwatch.sources import tables
 
 
 def column(df, name):
@@ -299,3 +302,71 @@ def test_rate_limits_are_exclusive(spark):
     for flagged, passed in ((5, False), (6, True), (99, True), (100, False)):
         made = sample.withColumn("is_fraud", (F.col("transaction_id") < flagged).cast("int"))
         assert verdicts(sub.validate_submission(made, sample))["Reasonable fraud %"] is passed
+
+
+def test_missing_scores_are_below_every_score(spark):
+    nan = float("nan")
+    rows = [(1, None), (0, 0.2), (1, 0.6), (0, nan), (1, 0.9)]
+    df = spark.createDataFrame(rows, "is_fraud int, score double")
+    at_half = evaluate.threshold_predict(F.col("score"))
+    pooled = evaluate.pooled_metrics(df, at_half, []).first()
+    assert (pooled["precision"], round(pooled["recall"], 6)) == (1.0, 0.666667)
+    sweep = {round(r["threshold"], 2): r for r in evaluate.threshold_sweep(df, []).collect()}
+    assert (sweep[0.5]["tp"], sweep[0.5]["fp"], sweep[0.5]["fn"]) == (2, 0, 1)
+    assert (sweep[0.01]["tp"], sweep[0.01]["fp"], sweep[0.01]["fn"]) == (2, 1, 1)
+    # From the top: 0.9 (1), 0.6 (1), 0.2 (0), then the two missing ones together.
+    points = evaluate.pr_points(df, []).collect()
+    found = sorted((round(r["recall"], 4), round(r["precision"], 4)) for r in points)
+    assert found == [(0.0, 1.0), (0.3333, 1.0), (0.6667, 0.6667), (0.6667, 1.0), (1.0, 0.6)]
+    ap = evaluate.average_precision(df, []).first()["average_precision"]
+    assert ap == pytest.approx((1 + 1 + 0.6) / 3)
+    roc = evaluate.roc_points(df, [], drop_collinear=True).collect()
+    corners = [(0.0, 0.0), (0.0, 0.3333), (0.0, 0.6667), (0.5, 0.6667), (1.0, 1.0)]
+    assert sorted((r["fpr"], round(r["tpr"], 4)) for r in roc) == corners
+    flagged = {r["threshold"]: r["n_fraud"] for r in evaluate.prediction_summary(df, [], [0.5, 0.3]).collect()}
+    assert flagged == {0.5: 2, 0.3: 2}
+    strategies = {r["strategy"]: r for r in evaluate.strategy_table(df, []).collect()}
+    assert strategies["Standard (0.5)"]["fn"] == 1 and strategies["Standard (0.5)"]["fp"] == 0
+
+
+def test_nan_is_missing(spark):
+    rows = [(1, 1.0), (2, float("nan")), (3, None), (4, 3.0), (5, 0.0), (6, -0.0)]
+    df = spark.createDataFrame(rows, "k int, amount double")
+    assert {r["column_name"]: r["nulls"] for r in quality.null_counts(df, ["k", "amount"]).collect()} == {"k": 0, "amount": 2}
+    stats = distribution.describe(df, ["amount"]).first()
+    assert (stats["count"], stats["mean"], stats["max"], stats["p50"]) == (4, 1.0, 3.0, 0.5)
+    assert {r["column_name"]: r["n_unique"] for r in distribution.distinct_counts(df, ["k", "amount"]).collect()} == {"k": 6, "amount": 3}
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    names = TRAIN_SCHEMA.names
+    values = dict(zip(names, ["7", "NaN", "3", "Food", "1", "0", "50", "2", "40", "1"], strict=True))
+    shuffled = [*names[5:], *names[:5]]
+    (tmp_path / "t.csv").write_text(",".join(shuffled) + "\n" + ",".join(values[n] for n in shuffled) + "\n")
+    row = tables.read_transactions(spark, str(tmp_path / "t.csv"), "train").first()
+    assert row.asDict() == {
+        "transaction_id": 7, "amount": None, "transaction_hour": 3, "merchant_category": "Food", "foreign_transaction": 1,
+        "location_mismatch": 0, "device_trust_score": 50, "velocity_last_24h": 2, "cardholder_age": 40, "is_fraud": 1,
+        "split": "train",
+    }
+    (tmp_path / "u.csv").write_text(",".join(names[1:]) + "\n" + ",".join(values[n] for n in names[1:]) + "\n")
+    with pytest.raises(ValueError, match="in place of"):
+        tables.read_transactions(spark, str(tmp_path / "u.csv"), "train")
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine(spark, monkeypatch):
+    class Cluster:
+        master = "spark://host:7077"
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        sparkContext = Cluster()  # noqa: N815
+        conf = {}  # noqa: RUF012
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -1,6 +1,7 @@
 """Invariants of everything that fits a model, and exact checks where brute force is possible."""
 
 import math
+import pathlib
 
 import numpy as np
 import pytest
@@ -13,9 +14,26 @@ from cardwatch.learners.knn import nearest_neighbors, vote
 from cardwatch.learners.zoo import LEARNERS
 from cardwatch.operators import encode
 from cardwatch.plans import ensemble, training
-from cardwatch.plans.run import RunConfig, run
+from cardwatch.plans.run import STACKED_NAME, RunConfig, run
 from cardwatch.registry import learner_queries as lq
-from cardwatch.sources import results_log, standin, tables
+from cardwatch.sources import artifacts, results_log, standin, tables
+
+
+# Few rounds: what is tested here does not depend on how long a learner is trained.
+SMALL_BUDGETS = {
+    "LogisticRegression": {"C": 1.0, "max_iter": 50},
+    "RandomForest": {"n_estimators": 20, "max_depth": 6},
+    "ExtraTrees": {"n_estimators": 20, "max_depth": 6},
+    "XGBoost": {"n_estimators": 5, "learning_rate": 0.3, "max_depth": 4},
+    "LightGBM": {"n_estimators": 5, "learning_rate": 0.2, "max_depth": 5},
+    "CatBoost": {"iterations": 5, "learning_rate": 0.2, "depth": 4},
+    "AdaBoost": {"n_estimators": 8, "learning_rate": 0.7},
+    "GradientBoosting": {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 3},
+    "SVC": {"C": 1.0, "max_iter": 15, "folds": 2},
+    "KNN": {"n_neighbors": 5, "weights": "distance"},
+    "GaussianNB": {"var_smoothing": 1e-9},
+    "MLPClassifier": {"hidden_layer_sizes": [10], "alpha": 0.08, "max_iter": 30},
+}
 
 
 @pytest.fixture(scope="module")
@@ -31,14 +49,14 @@ def folded(raw):
 
 @pytest.mark.parametrize("name", sorted(LEARNERS))
 def test_out_of_fold_scores(folded, name):
-    oof = training.oof_predict(LEARNERS[name], lq.BUDGETS[name], folded, lq.FEATURES).collect()
+    oof = training.oof_predict(LEARNERS[name], SMALL_BUDGETS[name], folded, lq.FEATURES).collect()
     assert len({r["transaction_id"] for r in oof}) == len(oof) == folded.count()
     assert all(0.0 <= r["score"] <= 1.0 and r["prediction"] in (0, 1) for r in oof)
 
 
 def test_refitting_gives_the_same_scores(folded):
     def scores():
-        oof = training.oof_predict(LEARNERS["RandomForest"], lq.BUDGETS["RandomForest"], folded, lq.FEATURES)
+        oof = training.oof_predict(LEARNERS["RandomForest"], SMALL_BUDGETS["RandomForest"], folded, lq.FEATURES)
         return {r["transaction_id"]: r["score"] for r in oof.collect()}
 
     first, second = scores(), scores()
@@ -163,27 +181,54 @@ def test_stream_scores_every_row_once(spark, raw, small):
 
 
 def test_nested_blend_covers_all_rows(folded):
-    members = {"LogisticRegression": lq.BUDGETS["LogisticRegression"], "GaussianNB": lq.BUDGETS["GaussianNB"]}
+    members = {"LogisticRegression": SMALL_BUDGETS["LogisticRegression"], "GaussianNB": SMALL_BUDGETS["GaussianNB"]}
     oof = ensemble.member_oof(members, folded, lq.FEATURES)
     assert ensemble.nested_blend(oof, list(members), 3, n_trials=5).count() == folded.count()
 
 
-def test_whole_run(spark, raw, tmp_path):
+def test_whole_run_twice_into_one_folder(spark, raw, tmp_path):
     members = ["GradientBoosting", "GaussianNB"]
     config = RunConfig(
         vote_members=members,
-        stack_members=members,
+        stack_members=[*members, "LogisticRegression"],
         merchants=standin.EVENT_TYPES,
-        params={m: lq.BUDGETS[m] for m in members},
+        params={m: SMALL_BUDGETS[m] for m in members},
         folds=3,
+        tuning_trials=2,
         weight_trials=10,
         output=str(tmp_path),
     )
-    result = run(*raw, config)
-    assert result.submission.columns == ["transaction_id", "is_fraud"]
-    assert result.submission.count() == raw[1].count()
-    assert result.checks.count() == 7 and result.log.count() == len(members) + 2
-    assert (tmp_path / "submission").exists() == result.valid
+    first, second = run(*raw, config), run(*raw, config)
+    assert first.valid and first.chosen == second.chosen
+    rows = sorted(map(tuple, first.submission.collect()))
+    assert rows == sorted(map(tuple, second.submission.collect())) and len(rows) == raw[1].count()
+    log = results_log.read_log(spark, f"{tmp_path}/results_log").collect()
+    # Three single models twice each (pooled, mean of folds), the vote and the stack, in each run.
+    assert len(log) == 2 * (3 * 2 + 2) and first.checks.count() == 7
+    assert sorted({r["run_seq"] for r in log}) == list(range(10))
+    for r in log:
+        if r["Model_Name"] == second.chosen:
+            written = spark.read.option("header", True).csv(f"{r['Output_Predictions_Path']}/predictions")
+            assert sorted((int(x["transaction_id"]), int(x["is_fraud"])) for x in written.collect()) == rows
+            oof = spark.read.parquet(f"{r['Output_Predictions_Path']}/oof")
+            assert oof.count() == raw[0].count() and {"is_fraud", "prediction_prob"} <= set(oof.columns)
+        if r["Model_Name"] in (*members, "LogisticRegression", STACKED_NAME):
+            assert (pathlib.Path(r["Model_File_Path"]) / "metadata").exists()
+    package = artifacts.load_settings(spark, str(tmp_path / "run-5"))
+    assert package[STACKED_NAME].members == (*members, "LogisticRegression") and package["Ensemble_SoftVoting"].mode == "above"
+    # The saved stack gives the stack's predictions again.
+    models = artifacts.load_models([*members, "LogisticRegression", STACKED_NAME], str(tmp_path / "run-5"))
+    meta = models.pop(STACKED_NAME)
+    again = ensemble.stacked_scores(meta, ensemble.member_scores(models, lq.engineered(raw[1])))
+    hits = again.filter(F.col("score") >= package[STACKED_NAME].threshold).count()
+    (path,) = {r["Output_Predictions_Path"] for r in log if r["Model_Name"] == STACKED_NAME and r["run_seq"] >= 5}
+    assert hits == spark.read.option("header", True).csv(f"{path}/predictions").filter("is_fraud = 1").count()
+    assert {p.name for p in tmp_path.iterdir()} >= {"submission", "submission_standard", "submission_aggressive"}
+
+
+def test_unknown_merchants_stop_a_run(raw):
+    with pytest.raises(ValueError, match="merchant_category=view"):
+        run(*raw, RunConfig(merchants=[e for e in standin.EVENT_TYPES if e != "view"]))
 
 
 def test_notebook_preset_votes_among_the_best(raw):
@@ -194,7 +239,7 @@ def test_notebook_preset_votes_among_the_best(raw):
         stack_members=members,
         vote_members=[],
         merchants=standin.EVENT_TYPES,
-        params={m: lq.BUDGETS[m] for m in members},
+        params={m: SMALL_BUDGETS[m] for m in members},
         folds=3,
         weight_trials=5,
     )
