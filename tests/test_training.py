@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from cardwatch.learners.adaboost import AdaBoostStumps, read_stump
+from cardwatch.learners.adaboost import AdaBoostStumps
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import nearest_neighbors, vote
 from cardwatch.learners.zoo import LEARNERS
@@ -122,10 +122,30 @@ def test_adaboost_equals_a_hand_run(spark):
     assert [r["probability"][1] for r in out] == pytest.approx(list(want))
 
 
-def test_reading_stumps():
-    split = "If (feature 7 <= 0.5)\n   Predict: 0.0\n  Else (feature 7 > 0.5)\n   Predict: 1.0"
-    assert read_stump(split) == (7, 0.5, 0.0, 1.0)
-    assert read_stump("Predict: 0.0") == (0, math.inf, 0.0, 0.0)
+def test_adaboost_rounds_equal_a_plain_loop(spark):
+    """Twenty-five rounds over whole-number features: more than two rewrites of the weights."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 5, (400, 3)).astype(float)
+    y = ((x[:, 0] + x[:, 1] > 4) ^ (rng.random(400) < 0.2)).astype(int)
+    model = AdaBoostStumps(featuresCol="features", labelCol="is_fraud", rounds=25, learningRate=0.5).fit(vectors(spark, x, y))
+    weights, want = np.ones(len(x)), []
+    for _ in range(25):
+        splits = []
+        for f in range(3):
+            for t in sorted(set(x[:, f]))[:-1]:
+                sides = [x[:, f] <= t, x[:, f] > t]
+                masses = [(weights[s & (y == 0)].sum(), weights[s & (y == 1)].sum()) for s in sides]
+                splits.append((round(sum(2 * a * b / (a + b) for a, b in masses), 9), f, t, masses))
+        _, f, t, masses = min(splits)
+        below, above = (float(b > a) for a, b in masses)
+        wrong = np.where(x[:, f] <= t, below, above) != y
+        error = weights[wrong].sum() / weights.sum()
+        say = 0.5 * math.log((1 - error) / error)
+        weights = weights * np.exp(say * wrong)
+        want.append((f, t, below, above, say))
+    got = [(*stump, say) for stump, say in model.rounds_used()]
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert [g[4] for g in got] == pytest.approx([w[4] for w in want])
 
 
 def test_naive_bayes_equals_its_formula(spark):
