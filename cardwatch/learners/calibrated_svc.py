@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorSlicer
@@ -11,6 +14,7 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, Has
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch.operators.folds import stratified_folds
 from cardwatch.schema import ID
 from cardwatch.session import settle
 
@@ -41,12 +45,19 @@ class CalibratedLinearSVC(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol,
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         k = self.getOrDefault(self.folds)
-        part = F.pmod(F.xxhash64(F.lit("calibration"), F.col(ID)), F.lit(k))
-        held_out = None
-        for i in range(k):
-            fitted = self._svc().fit(dataset.filter(part != i))
-            scored = fitted.transform(dataset.filter(part == i)).select("margins", self.getLabelCol())
-            held_out = scored if held_out is None else held_out.unionByName(scored)
+        columns = [ID, self.getFeaturesCol(), self.getLabelCol(), self.getWeightCol()]
+        # Folds keep the classes' shares, so that none is left without positives while there are k of them.
+        dealt = stratified_folds(dataset.select(*columns), k, label=self.getLabelCol()).withColumnRenamed("fold", "part")
+        parts = settle(dealt, partition_by=["part"])
+
+        def margins(i: int) -> DataFrame:
+            fitted = self._svc().fit(parts.filter(F.col("part") != i))
+            return fitted.transform(parts.filter(F.col("part") == i)).select("margins", self.getLabelCol())
+
+        with ThreadPoolExecutor(max_workers=k) as pool:
+            held_out = reduce(
+                DataFrame.unionByName, pool.map(inheritable_thread_target(dataset.sparkSession)(margins), range(k))
+            )
         margin = VectorSlicer(inputCol="margins", outputCol="margin", indices=[1])
         calibration = LogisticRegression(featuresCol="margin", labelCol=self.getLabelCol(), regParam=0.0)
         curve = calibration.fit(margin.transform(settle(held_out)))

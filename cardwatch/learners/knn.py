@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,32 +45,47 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
 
 
-def _nearest_in_block(queries: pd.DataFrame, block: pd.DataFrame, k: int, step: int = 256) -> pd.DataFrame:
-    """The k nearest rows of one block for each query of one block."""
-    found = []
-    if len(queries) and len(block):
-        points, ids = _matrix(block["x"]), block["id"].to_numpy()
-        labels = block["label"].to_numpy()
-        x, query_ids = _matrix(queries["x"]), queries["id"].to_numpy()
-        scale = float((points * points).sum(1).max())
-        for start in range(0, len(x), step):
-            part = x[start : start + step]
-            rough = _squared(part, points)
-            within = min(k, len(points)) - 1
-            limit = np.partition(rough, within, axis=1)[:, within]
-            # The fast formula only preselects; its rounding error is far below the slack.
+def _nearest(x: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``points``, squared distances) of the k nearest points of each row, nearest first, ties by lower id."""
+    k = min(k, len(points))
+    wide = min(len(points), k + 8)
+    places, distances = [np.zeros((0, k), np.int64)], [np.zeros((0, k))]
+    for start in range(0, len(x), step):
+        part = x[start : start + step]
+        rough = _squared(part, points)
+        # The fast formula only preselects; a few more than k take up its rounding errors.
+        near = np.argpartition(rough, wide - 1, axis=1)[:, :wide]
+        exact = np.round(((points[near] - part[:, None, :]) ** 2).sum(2), DIGITS)
+        order = np.lexsort((ids[near], exact), axis=1)
+        near, exact = np.take_along_axis(near, order, 1), np.take_along_axis(exact, order, 1)
+        if wide < len(points):
+            # Where the last preselected one is as near as the k-th, points of equal distance may have been left out.
+            scale = float((points * points).sum(1).max())
             slack = _SLACK * (1.0 + scale + (part * part).sum(1))
-            for i in range(len(part)):
-                near = np.flatnonzero(rough[i] <= limit[i] + slack[i])
-                difference = points[near] - part[i]
-                exact = np.round((difference * difference).sum(1), DIGITS)
-                best = near[np.lexsort((ids[near], exact))[:k]]
-                chosen = np.round(((points[best] - part[i]) ** 2).sum(1), DIGITS)
-                found.append((np.full(len(best), query_ids[start + i]), ids[best], chosen, labels[best]))
-    if not found:
+            for i in np.flatnonzero(exact[:, -1] <= exact[:, k - 1] + slack):
+                every = np.flatnonzero(rough[i] <= exact[i, k - 1] + slack[i])
+                d2 = np.round(((points[every] - part[i]) ** 2).sum(1), DIGITS)
+                best = np.lexsort((ids[every], d2))[:k]
+                near[i, :k], exact[i, :k] = every[best], d2[best]
+        places.append(near[:, :k])
+        distances.append(exact[:, :k])
+    return np.concatenate(places), np.concatenate(distances)
+
+
+def _nearest_in_block(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows of one block for each query of one block."""
+    if not len(queries) or not len(block):
         return pd.DataFrame({ID: [], "neighbor_id": [], "d2": [], "neighbor_label": []})
-    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-    return pd.DataFrame(dict(zip((ID, "neighbor_id", "d2", "neighbor_label"), columns, strict=True)))
+    ids = block["id"].to_numpy()
+    places, d2 = _nearest(_matrix(queries["x"]), _matrix(block["x"]), ids, k)
+    return pd.DataFrame(
+        {
+            ID: np.repeat(queries["id"].to_numpy(), places.shape[1]),
+            "neighbor_id": ids[places].ravel(),
+            "d2": d2.ravel(),
+            "neighbor_label": block["label"].to_numpy()[places].ravel(),
+        }
+    )
 
 
 def _lookup(numbers: dict[int, float], key: str, kind: str, missing: float) -> Column:
@@ -189,45 +206,119 @@ def vote(neighbors: DataFrame, weights: str) -> DataFrame:
     return neighbors.groupBy(ID).agg(share.alias("score"))
 
 
-class NearestNeighbors(Estimator, HasFeaturesCol, HasLabelCol):
+class _Neighbours(HasFeaturesCol, HasLabelCol):
     k = Param(Params._dummy(), "k", "neighbours that vote", TypeConverters.toInt)
     weights = Param(Params._dummy(), "weights", "uniform or distance", TypeConverters.toString)
+    maxTrainRows = Param(
+        Params._dummy(), "maxTrainRows", "most labelled rows the model keeps; 0 keeps all", TypeConverters.toInt
+    )
+
+
+class NearestNeighbors(Estimator, _Neighbours):
+    """k nearest neighbours. With ``maxTrainRows`` the model is that many labelled rows, drawn per class by a seeded hash of
+    the id, and scoring is one pass over the queries, linear in their number. With 0 all rows stay, and scoring is the exact join.
+    """
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", k=5, weights="uniform"):
+    def __init__(self, *, featuresCol="features", labelCol="label", k=5, weights="uniform", maxTrainRows=0):
         super().__init__()
+        self._setDefault(maxTrainRows=0)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> NearestNeighborsModel:
-        kept = settle(dataset.select(ID, self.getFeaturesCol(), self.getLabelCol()))
-        return NearestNeighborsModel(kept, self)
+        kept = dataset.select(ID, self.getFeaturesCol(), self.getLabelCol())
+        most = self.getOrDefault(self.maxTrainRows)
+        if most:
+            kept = drawn_per_class(kept, self.getLabelCol(), most)
+        model = NearestNeighborsModel(settle(kept))
+        return self._copyValues(model)
+
+
+def drawn_per_class(rows: DataFrame, label: str, most: int) -> DataFrame:
+    """At most ``most`` rows, each class in its share, those whose seeded hash of the id is smallest."""
+    sizes = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    total = sum(sizes.values())
+    if total <= most:
+        return rows
+    key = F.md5(F.concat(F.lit("neighbour:"), F.col(ID).cast("string")))
+    parts = [
+        rows.filter(F.col(label) == c).orderBy(key, ID).limit(max(1, most * n // total)) for c, n in sorted(sizes.items())
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _shares(d2: np.ndarray, labels: np.ndarray, weights: str) -> np.ndarray:
+    """``vote`` for rows of neighbours."""
+    if weights == "uniform":
+        return labels.mean(1)
+    hit = d2 == 0
+    weight = np.where(hit.any(1)[:, None], hit, 1.0 / np.sqrt(np.where(hit, 1.0, d2)))
+    return (weight * labels).sum(1) / weight.sum(1)
+
 
+class _ModelWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:  # noqa: N802
+        super().saveImpl(path)
+        self.instance.train.write.parquet(f"{path}/rows")
 
-class NearestNeighborsModel(Model):
-    """Holds the training table in the shared folder; scoring joins against it."""
 
-    def __init__(self, train: DataFrame, settings: NearestNeighbors):
+class _ModelReader(DefaultParamsReader):
+    def load(self, path: str) -> NearestNeighborsModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = NearestNeighborsModel(self.sparkSession.read.parquet(f"{path}/rows"))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+class NearestNeighborsModel(Model, _Neighbours, MLWritable, MLReadable):
+    """The rows it was fitted on, as a table in the shared folder or where it was saved."""
+
+    def __init__(self, train: DataFrame):
         super().__init__()
+        self._setDefault(maxTrainRows=0)
         self.train = train
-        self.settings = settings
+
+    def write(self) -> _ModelWriter:
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls) -> _ModelReader:
+        return _ModelReader(cls)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        s = self.settings
-        found = nearest_neighbors(
-            dataset,
-            self.train,
-            s.getOrDefault(s.k),
-            features=s.getFeaturesCol(),
-            label=s.getLabelCol(),
-        )
-        voted = vote(found, s.getOrDefault(s.weights))
+        score = self._scored_in_place if self.getOrDefault(self.maxTrainRows) else self._scored_by_join
         return (
-            dataset.join(voted, ID)
+            score(dataset)
             .withColumns(
                 {
-                    "probability": array_to_vector(F.array(F.lit(1.0) - F.col("score"), F.col("score"))),
-                    "prediction": F.when(F.col("score") > 0.5, 1.0).otherwise(0.0),
+                    "probability": array_to_vector(F.array(F.lit(1.0) - F.col("__share"), F.col("__share"))),
+                    "prediction": F.when(F.col("__share") > 0.5, 1.0).otherwise(0.0),
                 }
             )
-            .drop("score")
+            .drop("__share")
+        )
+
+    def _scored_by_join(self, dataset: DataFrame) -> DataFrame:
+        found = nearest_neighbors(
+            dataset, self.train, self.getOrDefault(self.k), features=self.getFeaturesCol(), label=self.getLabelCol()
         )
+        return dataset.join(vote(found, self.getOrDefault(self.weights)).withColumnRenamed("score", "__share"), ID)
+
+    def _scored_in_place(self, dataset: DataFrame) -> DataFrame:
+        """``maxTrainRows`` bounds what is collected and sent to every executor."""
+        k, weights = self.getOrDefault(self.k), self.getOrDefault(self.weights)
+        columns = [F.col(ID), vector_to_array(self.getFeaturesCol()), F.col(self.getLabelCol()).cast("double")]
+        rows = self.train.select(*columns).orderBy(ID).collect()
+        points, ids = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+        held = dataset.sparkSession.sparkContext.broadcast((points, ids, np.array([r[2] for r in rows])))
+
+        @F.pandas_udf("double")
+        def share(x: pd.Series) -> pd.Series:
+            points, ids, labels = held.value
+            if not len(x):
+                return pd.Series([], dtype=float)
+            places, d2 = _nearest(_matrix(x), points, ids, k)
+            return pd.Series(_shares(d2, labels[places], weights))
+
+        return dataset.withColumn("__share", share(vector_to_array(self.getFeaturesCol())))

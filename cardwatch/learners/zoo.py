@@ -29,6 +29,8 @@ class Setting:
     n_features: int
     weight_sum: float
     features: str
+    #: Boosting rounds where the parameters name none.
+    rounds: int = 100
 
 
 @dataclass(frozen=True)
@@ -87,7 +89,7 @@ def _boosted(p: dict, s: Setting) -> Estimator:
         featuresCol=s.features,
         labelCol=LABEL,
         weightCol="weight",
-        maxIter=p.get("n_estimators", p.get("iterations", 100)),
+        maxIter=p.get("n_estimators", p.get("iterations", s.rounds)),
         stepSize=p["learning_rate"],
         maxDepth=p.get("max_depth", p.get("depth", 6)),
         seed=SEED,
@@ -111,8 +113,18 @@ def _svc(p: dict, s: Setting) -> Estimator:
     )
 
 
+#: The neighbour vote keeps at most this many labelled rows, unless ``max_train_rows`` says otherwise (0: all, by exact join).
+NEIGHBOUR_ROWS = 20_000
+
+
 def _knn(p: dict, s: Setting) -> Estimator:
-    return NearestNeighbors(featuresCol=s.features, labelCol=LABEL, k=p["n_neighbors"], weights=p["weights"])
+    return NearestNeighbors(
+        featuresCol=s.features,
+        labelCol=LABEL,
+        k=p["n_neighbors"],
+        weights=p["weights"],
+        maxTrainRows=p.get("max_train_rows", NEIGHBOUR_ROWS),
+    )
 
 
 def _naive_bayes(p: dict, s: Setting) -> Estimator:
@@ -151,10 +163,11 @@ _ALL = [
     Learner("XGBoost", _boosted, "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK, {"learning_rate": 0.15, "max_depth": 5}),
     Learner("LightGBM", _boosted, "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK, {"learning_rate": 0.11, "max_depth": 8}),
     Learner(
-        "CatBoost", _boosted, "balanced", False,
+        "CatBoost", lambda p, s: _boosted({"iterations": 1000} | p, s), "balanced", False,
         {"learning_rate": ("log", 0.01, 0.3), "depth": ("int", 4, 8)},
         {"iterations": ("int", 50, 300), "depth": ("int", 4, 10), "learning_rate": ("log", 1e-3, 0.3)},
-        {"learning_rate": 0.08, "depth": 6},
+        # Fixed value: the rounds of that library when none are given.
+        {"iterations": 1000, "learning_rate": 0.08, "depth": 6},
     ),
     Learner(
         "AdaBoost", _adaboost, None, False,
@@ -193,5 +206,8 @@ LEARNERS = {learner.name: learner for learner in _ALL}
 
 
 def notebook_variant(learner: Learner) -> Learner:
-    """The same learner with the notebook's search space and without scaling."""
-    return replace(learner, scaled=False, script_space=learner.notebook_space)
+    """The same learner with the notebook's search space and without scaling; its perceptron stops after 200 iterations."""
+    build = learner.build
+    if learner.name == "MLPClassifier":
+        build = lambda p, s: learner.build({"max_iter": 200} | p, s)
+    return replace(learner, build=build, scaled=False, script_space=learner.notebook_space)

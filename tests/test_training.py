@@ -5,12 +5,13 @@ import pathlib
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from cardwatch.learners.adaboost import AdaBoostStumps
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
-from cardwatch.learners.knn import nearest_neighbors, vote
+from cardwatch.learners.knn import NearestNeighbors, nearest_neighbors, vote
 from cardwatch.learners.zoo import LEARNERS
 from cardwatch.operators import encode
 from cardwatch.plans import ensemble, training
@@ -96,6 +97,25 @@ def test_fewer_rows_than_neighbours(spark):
     assert sorted(r["neighbor_id"] for r in found.collect()) == [0, 1]
 
 
+@pytest.mark.parametrize("weights", ["uniform", "distance"])
+def test_bounded_neighbours_equal_the_join_and_survive_saving(spark, tmp_path, weights):
+    rng = np.random.default_rng(11)
+    x, y = rng.integers(0, 4, (300, 3)).astype(float), rng.integers(0, 2, 300)
+    queries = vectors(spark, np.vstack([x[:30], rng.uniform(0, 4, (30, 3))]), np.zeros(60), first_id=1000)
+    build = lambda most: NearestNeighbors(featuresCol="features", labelCol="is_fraud", k=4, weights=weights, maxTrainRows=most)
+    share = lambda m: {r["transaction_id"]: r["probability"][1] for r in m.transform(queries).collect()}
+    train = vectors(spark, x, y)
+    bounded = build(1000).fit(train)
+    assert share(bounded) == pytest.approx(share(build(0).fit(train)))
+    PipelineModel([bounded]).write().save(str(tmp_path / "knn"))
+    assert share(PipelineModel.load(str(tmp_path / "knn"))) == share(bounded)
+    drawn = build(50).fit(train).train
+    assert drawn.count() <= 50 and abs(drawn.filter("is_fraud = 1").count() - 50 * y.mean()) <= 1
+    # A repeated query is scored row by row.
+    twice = bounded.transform(queries.unionAll(queries))
+    assert twice.count() == 120
+
+
 def test_exact_hits_decide_alone(spark):
     rows = [(1, 1, 0.0, 1.0), (1, 2, 4.0, 0.0), (2, 1, 1.0, 1.0), (2, 2, 4.0, 0.0)]
     near = spark.createDataFrame(rows, "transaction_id long, rank int, d2 double, neighbor_label double")
