@@ -1,4 +1,4 @@
-"""Queries that fit models, with budgets small enough for one machine."""
+"""Queries that fit models."""
 
 from __future__ import annotations
 
@@ -23,23 +23,25 @@ from cardwatch.streaming import scoring
 Query = Callable[[SparkSession, str], DataFrame]
 
 FEATURES = feature_names(standin.EVENT_TYPES)
-FOLDS = 3
+FOLDS = 5
 
-# Small budgets: few rounds and shallow trees. The full search spaces live with the learners.
+# Parameters inside the learners' search spaces. Where a space names a number of rounds, the registered fit takes a low one
+# of it, so that all folds of all learners finish on one machine; the defaults of the learners are the published ones.
 BUDGETS = {
-    "LogisticRegression": {"C": 1.0, "max_iter": 50},
-    "RandomForest": {"n_estimators": 20, "max_depth": 6},
-    "ExtraTrees": {"n_estimators": 20, "max_depth": 6},
-    "XGBoost": {"n_estimators": 5, "learning_rate": 0.3, "max_depth": 4},
-    "LightGBM": {"n_estimators": 5, "learning_rate": 0.2, "max_depth": 5},
-    "CatBoost": {"iterations": 5, "learning_rate": 0.2, "depth": 4},
-    "AdaBoost": {"n_estimators": 8, "learning_rate": 0.7},
-    "GradientBoosting": {"n_estimators": 8, "learning_rate": 0.3, "max_depth": 3},
-    "SVC": {"C": 1.0, "max_iter": 15, "folds": 2},
+    "LogisticRegression": {"C": 1.0},
+    "RandomForest": {"n_estimators": 50, "max_depth": 9},
+    "ExtraTrees": {"n_estimators": 50, "max_depth": 11},
+    "XGBoost": {"n_estimators": 50, "learning_rate": 0.15, "max_depth": 5},
+    "LightGBM": {"n_estimators": 50, "learning_rate": 0.11, "max_depth": 5},
+    "CatBoost": {"iterations": 50, "learning_rate": 0.08, "depth": 6},
+    "AdaBoost": {"n_estimators": 124, "learning_rate": 0.67},
+    "GradientBoosting": {"n_estimators": 50, "learning_rate": 0.27, "max_depth": 3},
+    "SVC": {"C": 1.0},
     "KNN": {"n_neighbors": 5, "weights": "distance"},
     "GaussianNB": {"var_smoothing": 1e-9},
-    "MLPClassifier": {"hidden_layer_sizes": [10], "alpha": 0.08, "max_iter": 30},
+    "MLPClassifier": {"hidden_layer_sizes": [50], "alpha": 0.08},
 }
+# Three members: the five of ``RunConfig`` with their rounds take several minutes per query on one machine (README).
 MEMBERS = ["LogisticRegression", "RandomForest", "GradientBoosting"]
 
 NUMBERED = {
@@ -97,7 +99,7 @@ def m04_cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m06_tune(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = table(spark, sf_dir)
     learner = training.learner("LogisticRegression")
-    return training.tune(learner, folded, FEATURES, n_trials=3, fixed={"max_iter": 30})
+    return training.tune(learner, folded, FEATURES, n_trials=20)
 
 
 def m07_fit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +112,7 @@ def m07_fit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m11_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = {m: BUDGETS[m] for m in MEMBERS}
     oof = ensemble.member_oof(members, table(spark, sf_dir), FEATURES)
-    meta_oof, _, threshold = ensemble.stack(oof, MEMBERS, FOLDS)
+    meta_oof, _, threshold = ensemble.stack(oof, list(members), FOLDS)
     stacked = meta_oof.withColumn("prediction", ev.threshold_predict(F.col("score"), threshold))
     return rounded_score(stacked)
 
@@ -162,7 +164,7 @@ def m30_gaussian_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s06_save_load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, test = raw_split(spark, sf_dir)
-    names = ["LogisticRegression", "GaussianNB"]
+    names = ["LogisticRegression", "GaussianNB", "KNN"]
     learn = learning_rows(spark, sf_dir)
     path = scratch_path(spark, "artifacts")
     artifacts.save_models(ensemble.member_models({n: BUDGETS[n] for n in names}, learn, FEATURES), path)
@@ -197,6 +199,94 @@ def r01_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(train, test, config).submission
 
 
+# --- fits whose answer is known exactly ---------------------------------------------------------
+
+
+def m05_oof_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fold: rows, positives, and rows whose score is a probability."""
+    oof = training.oof_predict(training.learner("GaussianNB"), BUDGETS["GaussianNB"], table(spark, sf_dir), FEATURES)
+    return oof.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(LABEL) == 1).alias("n_pos"),
+        F.count_if(F.col("score").between(0, 1)).alias("n_probabilities"),
+        F.count_if((F.col("score") > 0.5) == (F.col("prediction") == 1)).alias("n_consistent"),
+    )
+
+
+def fitted_on(spark: SparkSession, sf_dir: str, name: str, params: dict, features: list[str], keep: str) -> DataFrame:
+    """Scores of the train rows by a model of few columns: one row per value of ``keep``."""
+    rows = raw_split(spark, sf_dir)[0].withColumn("category", F.col("merchant_category"))
+    rows = settle(encode.one_hot(rows, {"merchant_category": standin.EVENT_TYPES}))
+    model = training.fit_final(training.learner(name), params, rows, features)
+    return training.score(model, rows, [keep]).groupBy(keep).agg(F.max("score").alias("score"))
+
+
+def m20_category_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without penalty, logistic regression on one category gives back each value's weighted rate."""
+    columns = [f"merchant_category_{e}" for e in standin.EVENT_TYPES]
+    rates = fitted_on(spark, sf_dir, "LogisticRegression", {"C": 1e9}, columns, "category")
+    return rates.withColumn("score", F.round("score", 3))
+
+
+def m22_single_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of one split gives back the weighted rates of its two sides."""
+    params = {"n_estimators": 1, "max_depth": 1}
+    return rounded_score(fitted_on(spark, sf_dir, "ExtraTrees", params, ["foreign_transaction"], "foreign_transaction"))
+
+
+def m27_single_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One boosting round fits the means of the labels as -1 and 1."""
+    params = {"n_estimators": 1, "learning_rate": 0.1, "max_depth": 1}
+    return rounded_score(fitted_on(spark, sf_dir, "GradientBoosting", params, ["foreign_transaction"], "foreign_transaction"))
+
+
+def m26_single_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One boosted stump: the larger class of each side."""
+    params = {"n_estimators": 1, "learning_rate": 1.0}
+    found = fitted_on(spark, sf_dir, "AdaBoost", params, ["location_mismatch", "foreign_transaction"], "foreign_transaction")
+    return found.withColumn("score", F.round("score", 6))
+
+
+def s06_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest difference between the scores of a model and of the same model saved and loaded, for every kind of learner."""
+    _, test = raw_split(spark, sf_dir)
+    names = ["LogisticRegression", "RandomForest", "AdaBoost", "GradientBoosting", "SVC", "KNN", "GaussianNB", "MLPClassifier"]
+    # What is saved does not depend on how long a learner was trained.
+    short = {"n_estimators": 5, "max_iter": 10, "max_depth": 4}
+    params = {n: BUDGETS[n] | {k: v for k, v in short.items() if k in BUDGETS[n] or k == "max_iter"} for n in names}
+    models = ensemble.member_models(params, learning_rows(spark, sf_dir), FEATURES)
+    path = scratch_path(spark, "artifacts")
+    artifacts.save_models(models, path)
+    before = ensemble.member_scores(models, engineered(test))
+    after = ensemble.member_scores(artifacts.load_models(names, path), engineered(test))
+    both = before.join(after.withColumnsRenamed({n: f"{n}_loaded" for n in names}), ID)
+    pairs = [
+        F.struct(
+            F.lit(n).alias("model"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.max(F.abs(F.col(n) - F.col(f"{n}_loaded"))).alias("largest_difference"),
+        )
+        for n in names
+    ]
+    return both.agg(F.array(*pairs).alias("rows")).select(F.inline("rows"))
+
+
+def x05_stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream scores next to batch scores of the same model."""
+    _, test = raw_split(spark, sf_dir)
+    name = "LogisticRegression"
+    model = training.fit_final(training.learner(name), BUDGETS[name], learning_rows(spark, sf_dir), FEATURES)
+    arrived = tables.write_table(test, scratch_path(spark, "arriving"))
+    stream = scoring.score_stream(scoring.read_stream(spark, arrived), model, standin.EVENT_TYPES)
+    path = scratch_path(spark, "scored")
+    scoring.write_scores(stream, path, scratch_path(spark, "stream-state")).awaitTermination()
+    batch = training.score_test(model, engineered(test)).withColumnRenamed("score", "batch_score")
+    both = batch.join(spark.read.parquet(path).select(ID, "score"), ID, "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("score") - F.col("batch_score"))).alias("largest_difference")
+    )
+
+
 def learner_queries() -> dict[str, Query]:
     return {
         "s06_save_load_model": s06_save_load_model,
@@ -210,6 +300,13 @@ def learner_queries() -> dict[str, Query]:
         "m29_knn_join": m29_knn_join,
         "m29_knn_vote": m29_knn_vote,
         "m30_gaussian_nb": m30_gaussian_nb,
+        "m05_oof_coverage": m05_oof_coverage,
+        "m20_category_rate": m20_category_rate,
+        "m22_single_split": m22_single_split,
+        "m26_single_stump": m26_single_stump,
+        "m27_single_round": m27_single_round,
+        "s06_round_trip": s06_round_trip,
+        "x05_stream_equals_batch": x05_stream_equals_batch,
         "r01_run": r01_run,
         "x05_stream_scoring": x05_stream_scoring,
     }

@@ -646,5 +646,45 @@ def _learners() -> dict[str, str]:
     }
 
 
+def _exact_fits() -> dict[str, str]:
+    weighted = (
+        "count(*) FILTER (is_fraud=1)*(n/(2.0*n1)) / (count(*) FILTER (is_fraud=1)*(n/(2.0*n1)) + "
+        "count(*) FILTER (is_fraud=0)*(n/(2.0*n0)))"
+    )
+    sizes = "z AS (SELECT count(*) AS n, count(*) FILTER (is_fraud=0) AS n0, count(*) FILTER (is_fraud=1) AS n1 FROM train)"
+    models = ["LogisticRegression", "RandomForest", "AdaBoost", "GradientBoosting", "SVC", "KNN", "GaussianNB", "MLPClassifier"]
+    # The stump takes the feature whose sides leave the least impurity; each side votes for its larger class.
+    sides = union(
+        [
+            f"SELECT '{f}' AS feature, {k} AS place, {f} AS side, count(*) FILTER (is_fraud=1) AS pos, "
+            f"count(*) FILTER (is_fraud=0) AS neg FROM train GROUP BY {f}"
+            for k, f in enumerate(["location_mismatch", "foreign_transaction"])
+        ]
+    )
+    return {
+        "m05_oof_coverage": f"WITH {TX}, f AS (SELECT is_fraud, {FOLD_SQL.format(k=5)} AS fold FROM train) SELECT fold, "
+        "count(*) AS n_rows, count(*) FILTER (is_fraud=1) AS n_pos, count(*) AS n_probabilities, count(*) AS n_consistent "
+        "FROM f GROUP BY fold",
+        "m20_category_rate": f"WITH {TX}, {sizes} SELECT merchant_category AS category, "
+        f"round(CAST({weighted} AS DOUBLE), 3) AS score FROM train, z GROUP BY merchant_category, n, n0, n1",
+        "m22_single_split": f"WITH {TX}, {sizes} SELECT foreign_transaction, round(CAST({weighted} AS DOUBLE), 6) AS score "
+        "FROM train, z GROUP BY foreign_transaction, n, n0, n1",
+        "m26_single_stump": f"WITH {TX}, d AS ({sides}), g AS (SELECT feature, place, "
+        "sum(2.0*pos*neg/(pos+neg)) AS impurity FROM d GROUP BY ALL), "
+        "best AS (SELECT feature FROM g ORDER BY impurity, place LIMIT 1), "
+        "w AS (SELECT side, pos, neg, CASE WHEN pos > neg THEN 1 ELSE -1 END AS vote, least(pos, neg) AS wrong "
+        "FROM d JOIN best USING (feature)), "
+        "s AS (SELECT foreign_transaction, max(CASE WHEN (SELECT feature FROM best) = 'foreign_transaction' THEN w.vote ELSE v.vote END) "
+        "AS vote FROM train JOIN w ON w.side = foreign_transaction JOIN w v ON v.side = location_mismatch GROUP BY 1) "
+        "SELECT foreign_transaction, round(1/(1+exp(-CAST(vote AS DOUBLE))), 6) AS score FROM s",
+        "m27_single_round": f"WITH {TX} SELECT foreign_transaction, "
+        "round(1/(1+exp(-2*avg(2*is_fraud-1))), 6) AS score FROM train GROUP BY foreign_transaction",
+        "s06_round_trip": f"WITH {TX}, m(model) AS (VALUES {', '.join(f'({m!r})' for m in models)}) "
+        "SELECT model, count(*) AS n_rows, CAST(0 AS DOUBLE) AS largest_difference FROM tx, m WHERE split='test' GROUP BY model",
+        "x05_stream_equals_batch": f"WITH {TX} SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS largest_difference "
+        "FROM tx WHERE split='test'",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners()
+    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits()
