@@ -82,7 +82,8 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ``docs`` should be a written table: its scan must give the rows in the same partitions twice.
     """
     decided = exact_duplicates(docs, id_col=id_col, text_col=text_col, keep=keep)
-    stay = decided.filter("kept").select(F.col("row_uid").alias("__row_uid"))
+    # What stays grows with the input, so it is never broadcast.
+    stay = decided.filter("kept").select(F.col("row_uid").alias("__row_uid")).hint("merge")
     return (
         docs.withColumn("__row_uid", F.monotonically_increasing_id()).join(stay, "__row_uid", "left_semi").drop("__row_uid")
     )
