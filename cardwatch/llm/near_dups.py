@@ -7,8 +7,8 @@ The darts of a cell depend on the shingle alone, and a text throws about ``k ln
 
 Texts with equal shingle sets become one. In each bucket of each band the others are compared with the bucket's smallest
 member only, so a large group costs as many comparisons as it has members. Only where a bucket still holds texts of
-several groups are those compared with each other, in blocks, by their signatures; what may reach the threshold is then
-verified on the whole shingle sets. No bucket is cut short.
+several groups are those compared with each other: buckets with the same smallest member are put together, and dealt out in
+blocks, by signature and then by their whole shingle sets. No bucket is cut short.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 4
-#: Members of a mixed bucket that one task compares with as many others.
+#: Members of a mixed group, and shingles of all of them, that one task compares with as many others.
 BLOCK = 2000
+BLOCK_SHINGLES = 4_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,7 +126,7 @@ def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n
 
 def _shingles_of(docs: DataFrame, uids: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(uid, shingles: sorted array of long) of the texts with these uids."""
-    chosen = _numbered(docs, id_col, text_col).drop("doc_id").join(uids, "uid", "left_semi")
+    chosen = _numbered(docs, id_col, text_col).drop("doc_id").join(uids.hint("merge"), "uid", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,43 +153,56 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
     )
 
 
-def _pairs_in_blocks(members: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Pairs of different roots that share a bucket and may reach the threshold by their signatures.
+def _links_in_blocks(members: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
+    """Links (u, v) between texts of different roots in one group; together with the roots they join all that is linked.
 
-    ``members``: bucket, uid, root, size, signature. A bucket with many members is dealt out in blocks; each pair of blocks
-    is a task of its own. Only pairs within five standard deviations of the threshold leave it.
+    ``members``: lead (names the group), uid, root, size, signature, shingles. A group with many or long members is dealt
+    out in blocks; each pair of blocks is a task of its own. There, what is within five standard deviations of the
+    threshold by signature is compared by its whole shingle sets. Links that join nothing new are not given out, so a task
+    gives out fewer rows than it takes in.
     """
+    k = bands * rows
     least = k * threshold - 5 * (k * threshold * (1 - threshold)) ** 0.5
-    blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    blocks = members.groupBy("lead").agg(needed.cast("int").alias("blocks"))
+    dealt = members.join(blocks, "lead").withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    carried = ["uid", "root", "size", "signature", "shingles"]
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("bucket", "own", "uid", "root", "size", "signature", other).select(
-        "bucket",
+    dealt = dealt.select("lead", "own", *carried, other).select(
+        "lead",
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
         (F.col("own") <= F.col("other")).alias("left"),
         (F.col("own") >= F.col("other")).alias("right"),
-        "uid",
-        "root",
-        "size",
-        "signature",
+        *carried,
     )
 
     def compare(table: pa.Table) -> pa.Table:
         uid, root, size = (table.column(c).to_numpy() for c in ("uid", "root", "size"))
         left, right = (table.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
         signs = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, k)
-        us, vs = [], []
+        held = table.column("shingles").combine_chunks()
+        flat, ends = held.flatten().to_numpy().view(np.uint64), np.append(0, np.cumsum(size))
+        # Groups within this task: members of one set are linked, here or through their roots.
+        _, group = np.unique(root, return_inverse=True)
+        found = []
         for i in np.flatnonzero(left):
-            j = np.flatnonzero(right & (root != root[i]) & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
+            j = np.flatnonzero(right & (group != group[i]) & (np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
             j = j[(signs[j] == signs[i]).sum(axis=1) >= least]
-            us.append(np.full(len(j), uid[i]))
-            vs.append(uid[j])
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"u": np.concatenate([*none, *us]), "v": np.concatenate([*none, *vs])})
-
-    found = dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "u long, v long")
-    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+            if not len(j):
+                continue
+            own = flat[ends[i] : ends[i + 1]]
+            others = flat[ranges(ends[j], size[j])]
+            hit = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+            common = np.add.reduceat(hit, np.cumsum(size[j]) - size[j], dtype=np.int64)
+            for v in j[common >= threshold * (size[i] + size[j] - common)]:
+                if group[v] != group[i]:
+                    group[group == group[v]] = group[i]
+                    found.append((max(uid[i], uid[v]), min(uid[i], uid[v])))
+        u, v = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"u": u, "v": v})
+
+    return dealt.groupBy("lead", "low", "high").applyInArrow(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
@@ -225,10 +239,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rooted = met.join(roots.withColumnRenamed("node", "uid"), "uid", "left").select(
         "bucket", "uid", "size", F.coalesce("root", "uid").alias("root")
     )
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_members = rooted.join(mixed.select("bucket"), "bucket", "left_semi").join(reps.select("uid", "signature"), "uid")
-    more = _verified(write_once(_pairs_in_blocks(open_members, bands * rows, threshold), "pairs"), shingles, threshold)
-    more = write_once(more, "block-links")
+    ends = F.min("root").alias("low"), F.max("root").alias("high"), F.min("uid").alias("lead")
+    mixed = rooted.groupBy("bucket").agg(*ends).filter("low <> high").select("bucket", "lead")
+    together = rooted.join(mixed, "bucket").select("lead", "uid", "root", "size").distinct()
+    together = together.join(reps.select("uid", "signature"), "uid").join(shingles, "uid")
+    more = write_once(_links_in_blocks(together, bands, rows, threshold), "block-links")
     joined = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     classes = (
@@ -239,7 +254,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
     classes = write_once(classes, "classes")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))
-    named = classes.groupBy("root").agg(first.alias("first"), F.count("*").alias("class_size"))
+    named = write_once(classes.groupBy("root").agg(first.alias("first"), F.count("*").alias("class_size")), "named")
     return classes.join(named, "root").select(
         "uid",
         "doc_id",
@@ -252,4 +267,5 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
     stay = near_duplicates(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("uid").alias("__uid"))
+    stay = stay.hint("merge")  # it grows with the input, so it is never broadcast
     return docs.withColumn("__uid", F.monotonically_increasing_id()).join(stay, "__uid", "left_semi").drop("__uid")
