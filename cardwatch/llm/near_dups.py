@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         sketch(docs, id_col=id_col, text_col=text_col, n=n, bands=bands, rows=rows, weighted=weighted), "sketches"
     )
     own = F.when(F.col("size") == 0, F.col("uid")).otherwise(F.lit(-1))
-    same = sketches.groupBy("set_key", "size", own.alias("own")).agg(F.min("uid").alias("rep"))
+    # Written, so that the join below reads it and Spark can split a shingle set that very many texts share.
+    same = write_once(sketches.groupBy("set_key", "size", own.alias("own")).agg(F.min("uid").alias("rep")), "sets")
     reps = sketches.join(same.select(F.col("rep").alias("uid")), "uid", "left_semi").filter("size > 0")
     reps = write_once(reps.select("uid", "size", "signature", "buckets"), "reps")
 
