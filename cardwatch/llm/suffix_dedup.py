@@ -32,7 +32,7 @@ LENGTH = 200
 GRAM = 64
 #: Bits that order equal anchor hashes in a window by place, the first one first.
 _PLACE = 28
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 # What a row of the exchange holds.
@@ -150,9 +150,9 @@ def _settled(entries: Entries) -> tuple[Entries, Entries, Entries]:
 def _through_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket range: entries stream into the index, results of chunks pass, all come out as runs of windows."""
     indexes: dict[int, LogIndex] = {}
-    for batch in batches:
+    for part in (batch.slice(at, 64) for batch in batches for at in range(0, batch.num_rows, 64)):
         out: list[tuple[int, Entries]] = []
-        for row in batch.to_pylist():
+        for row in part.to_pylist():
             entries = Entries(*[_from_planes(row[c], t, row["n"]) for c, t in zip(_NAMES[3:], _TYPES)])
             if row["kind"] == ENTRIES:
                 like, unlike = indexes.setdefault(row["bucket"], LogIndex()).add(entries)
