@@ -12,15 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.shared import lower_ascii, write_once
+from cardwatch.llm.shared import lower_ascii, store_rows, write_once
 
 
-def digest_runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def digest_runs(docs: DataFrame, id_col: str, text_col: str, uid_col: str | None = None) -> DataFrame:
     """One row per document: row_uid, doc_id, digest (of the text with A-Z lower-cased), octets, run; runs are sorted."""
     text = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("__text")).select(
+    uid = F.monotonically_increasing_id() if uid_col is None else F.col(uid_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), uid.alias("row_uid"), text.alias("__text")).select(
         "doc_id",
-        F.monotonically_increasing_id().alias("row_uid"),
+        "row_uid",
         F.unhex(F.sha2("__text", 256)).alias("digest"),
         F.octet_length("__text").cast("long").alias("octets"),
         F.spark_partition_id().alias("run"),
@@ -35,10 +36,11 @@ def exact_duplicates(
     text_col: str = "text",
     keep: str = "largest",
     fan_in: int = 16,
+    uid_col: str | None = None,
 ) -> DataFrame:
     """Groups of texts that are identical after lower-casing A-Z.
 
-    Returns one row per input row: row_uid (position in the scan), doc_id, digest (SHA-256, binary), keep_id,
+    Returns one row per input row: row_uid (``uid_col``, or the position in the one scan), doc_id, digest (SHA-256, binary), keep_id,
     group_size, kept. ``keep`` says whether the ``largest`` or the ``smallest`` id of a group stays. Two texts count as
     equal only if digest and length in bytes agree.
 
@@ -49,7 +51,7 @@ def exact_duplicates(
     if keep not in ("largest", "smallest"):
         raise ValueError(f"keep must be largest or smallest, not {keep}")
     best = F.max if keep == "largest" else F.min
-    leaves = digest_runs(docs, id_col, text_col)
+    leaves = digest_runs(docs, id_col, text_col, uid_col)
     same = ["digest", "octets"]
     # min() orders nulls first, and a null id must lose under either rule.
     rank = F.struct(F.col("doc_id").isNull() if keep == "smallest" else F.col("doc_id").isNotNull(), "doc_id", "row_uid")
@@ -77,13 +79,9 @@ def exact_duplicates(
 
 
 def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns.
-
-    ``docs`` should be a written table: its scan must give the rows in the same partitions twice.
-    """
-    decided = exact_duplicates(docs, id_col=id_col, text_col=text_col, keep=keep)
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns. ``docs`` is scanned once."""
+    rows, uid = store_rows(docs)
+    decided = exact_duplicates(rows, id_col=id_col, text_col=text_col, keep=keep, uid_col=uid)
     # What stays grows with the input, so it is never broadcast.
-    stay = decided.filter("kept").select(F.col("row_uid").alias("__row_uid")).hint("merge")
-    return (
-        docs.withColumn("__row_uid", F.monotonically_increasing_id()).join(stay, "__row_uid", "left_semi").drop("__row_uid")
-    )
+    stay = decided.filter("kept").select(F.col("row_uid").alias(uid)).hint("merge")
+    return rows.join(stay, uid, "left_semi").drop(uid)

@@ -1,6 +1,6 @@
 """Stupid-backoff scores of all documents against the rest of the corpus.
 
-N-grams are counted in tables partitioned by hash. Each chunk of documents counts its own n-grams first and sends every
+Documents are dealt to chunks once, and stored with their chunk. N-grams are counted in tables partitioned by hash. Each chunk of documents counts its own n-grams first and sends every
 bucket one sorted block; the bucket adds up all blocks and sends each chunk the totals of the n-grams it asked for, so a
 frequent n-gram costs a bucket one entry per chunk. Totals meet the chunk's documents again by chunk, each document's own
 counts are taken off, and scores are summed per document. What is exchanged grows with the corpus' n-grams; nothing is
@@ -58,7 +58,7 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _numbered_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Chunk]]:
-    """Chunks with ids that a second pass over the same scan gives again."""
+    """Chunks with ids that no other task gives."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         for chunk in chunks(batch.column(1), _CHUNK):
@@ -66,6 +66,31 @@ def _numbered_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, p
             number += 1
 
 
+def _stored_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
+    """The stored chunks of a task. A chunk that is split between tasks comes in parts."""
+    held, pieces = 0, []
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1), len(ids)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if pieces and (a == b or ids[a] != held):
+                yield held, *chunks(pa.concat_arrays(pieces), 1 << 62)
+                pieces = []
+            if a < b:
+                held = int(ids[a])
+                pieces.append(batch.column(1).slice(a, b - a))
+    if pieces:
+        yield held, *chunks(pa.concat_arrays(pieces), 1 << 62)
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their counts over all parts of a chunk."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, kind = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(kind, np.concatenate([c for _, c in parts])).astype(np.int64)
+
+
 def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
     """Mean log score of every document under the counts of all other documents.
 
@@ -78,13 +103,21 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", or
     words), n_unseen (words of the first kind that no other document has), log_sum (long, in units of 1/UNIT), score
     (mean natural logarithm, null without words). A null text counts as empty. A repeated row is another document. Null
     ids pass through; other columns are ignored, whatever their names; an empty table gives an empty result. ``docs``
-    should be a written table: its scan must give the rows in the same partitions twice.
+    is scanned once and stored with each row's chunk.
     """
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, batch, chunk in _numbered_chunks(batches):
+            own = batch.slice(chunk.first, chunk.rows)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(chunk.rows, at)), *own.columns], ["chunk", "doc_id", "text"])
+
+    numbered = write_once(texts.mapInArrow(number, f"chunk long, doc_id {kind}, text string"), "chunks", "zstd")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, chunk in _numbered_chunks(batches):
+        for number, chunk in _stored_chunks(batches):
             blocks = []
             for n, hashes in enumerate(ngrams(chunk, order)[0], 1):
                 keys, counts = np.unique(hashes, return_counts=True)
@@ -99,37 +132,33 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", or
                 yield pa.RecordBatch.from_arrays(columns, ["chunk", "bucket", "n", "size", "steps", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
-        sizes = table.column("size").to_pylist()
-        keys = [np.cumsum(_unpack(s, np.uint64, n)) for s, n in zip(table.column("steps").to_pylist(), sizes)]
-        counts = [_unpack(c, np.uint32, n) for c, n in zip(table.column("counts").to_pylist(), sizes)]
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for chunk, size, steps, counts in zip(*(table.column(c).to_pylist() for c in ("chunk", "size", "steps", "counts"))):
+            own = np.cumsum(_unpack(steps, np.uint64, size)), _unpack(counts, np.uint32, size)
+            parts.setdefault(chunk, []).append(own)
+        keys, counts = zip(*map(_merged, parts.values()))
+        sizes = [len(k) for k in keys]
         _, kind = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(kind, np.concatenate(counts)).astype(np.int64)[kind]
         cuts = np.cumsum([0, *sizes])
         return pa.table(
             {
-                "chunk": table.column("chunk"),
-                "bucket": table.column("bucket"),
-                "n": table.column("n"),
-                "size": table.column("size"),
+                "chunk": pa.array(list(parts), pa.int64()),
+                "bucket": table.column("bucket").slice(0, len(parts)),
+                "n": table.column("n").slice(0, len(parts)),
+                "size": pa.array(sizes, pa.int32()),
                 "words": pa.array([int(c.sum()) for c in counts], pa.int64()),
                 "totals": pa.array([_pack(sums[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
             }
         )
 
-    blocks = texts.mapInArrow(count, "chunk long, bucket int, n int, size int, steps binary, counts binary")
+    blocks = numbered.select("chunk", "text").mapInArrow(count, "chunk long, bucket int, n int, size int, steps binary, counts binary")
     totals = blocks.groupBy("bucket", "n").applyInArrow(
         total, "chunk long, bucket int, n int, size int, words long, totals binary"
     )
     totals = write_once(totals, "ngram-totals")
     words = totals.filter("n = 1").agg(F.sum("words")).first()[0] or 0
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, batch, chunk in _numbered_chunks(batches):
-            own = batch.slice(chunk.first, chunk.rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(chunk.rows, at)), *own.columns], ["chunk", "doc_id", "text"])
-
     def others(hashes: np.ndarray, text: np.ndarray, held: list[dict]) -> np.ndarray:
         """How often other documents have each n-gram."""
         keys, kind, own = np.unique(hashes, return_inverse=True, return_counts=True)
@@ -138,7 +167,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", or
         for block in held:
             place = slice(cuts[block["bucket"]], cuts[block["bucket"] + 1])
             if place.stop - place.start != block["size"]:
-                raise RuntimeError("the scan gave other chunks the second time")
+                raise RuntimeError("a chunk's totals do not fit its n-grams")
             sums[place] = _unpack(block["totals"], np.int64, block["size"])
         _, pair, times = np.unique(text * len(keys) + kind, return_inverse=True, return_counts=True)
         return sums[kind] - times[pair]
@@ -180,7 +209,6 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", or
             }
         )
 
-    numbered = texts.mapInArrow(number, f"chunk long, doc_id {kind}, text string")
     return (
         numbered.groupBy("chunk")
         .cogroup(totals.drop("words").groupBy("chunk"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm.components import components
-from cardwatch.llm.shared import write_once
+from cardwatch.llm.shared import store_rows, store_texts, write_once
 from cardwatch.llm.spans import Chunk, chunks, folded_words, gram_hashes, hash_spans, mix, ranges
 
 SHINGLE = 5
@@ -85,16 +85,8 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
-    )
-
-
-def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE, bands: int = BANDS,
-           rows: int = ROWS, weighted: bool = False) -> DataFrame:
-    """Per text: uid, doc_id, size (distinct shingles), set_key (digest of the shingle set), signature, buckets."""
-    numbered = _numbered(docs, id_col, text_col)
+def sketch(texts: DataFrame, *, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
+    """Per stored text: uid, doc_id, size (distinct shingles), set_key (digest of the shingle set), signature, buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,15 +110,15 @@ def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n
                     ["uid", "doc_id", "size", "set_key", "signature", "buckets"],
                 )
 
-    kind = numbered.schema["doc_id"].dataType.simpleString()
-    return numbered.mapInArrow(
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(
         run, f"uid long, doc_id {kind}, size long, set_key binary, signature array<int>, buckets array<long>"
     )
 
 
-def _shingles_of(docs: DataFrame, uids: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+def _shingles_of(texts: DataFrame, uids: DataFrame, n: int) -> DataFrame:
     """(uid, shingles: sorted array of long) of the texts with these uids."""
-    chosen = _numbered(docs, id_col, text_col).drop("doc_id").join(uids.hint("merge"), "uid", "left_semi")
+    chosen = texts.drop("doc_id").join(uids.hint("merge"), "uid", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,22 +198,25 @@ def _links_in_blocks(members: DataFrame, bands: int, rows: int, threshold: float
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
-                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
+                    threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weighted: bool = False,
+                    uid_col: str | None = None) -> DataFrame:
     """Classes of texts that are linked by a Jaccard similarity of ``threshold`` or more over runs of ``n`` words.
 
-    Returns one row per input row: uid (place in the scan), doc_id, class_id, class_size, kept. Words stand between blanks,
+    Returns one row per input row: uid, doc_id, class_id, class_size, kept. Words stand between blanks,
     with A-Z lower-cased; a text of fewer than ``n`` words is one shingle. A class is all texts linked directly or through
     others; class_id is its smallest doc_id, and one row with that id is kept. ``weighted`` counts repeated shingles in the
     signatures; the final check is on sets.
 
     A null text counts as empty; a text without words is a class of its own. A null id never gives the class its
     name unless all ids are null. Repeated rows are one class. Other columns are ignored, whatever their names; an empty
-    table gives an empty result. ``docs`` should be a written table: its scan must give the rows in the same partitions
-    twice.
+    table gives an empty result. ``docs`` is scanned once and stored with a uid per row, unless ``uid_col`` names a column of
+    uids that are stored already.
     """
-    sketches = write_once(
-        sketch(docs, id_col=id_col, text_col=text_col, n=n, bands=bands, rows=rows, weighted=weighted), "sketches"
-    )
+    if uid_col is None:
+        texts = store_texts(docs, id_col, text_col)
+    else:
+        texts = docs.select(F.col(uid_col).alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sketches = write_once(sketch(texts, n=n, bands=bands, rows=rows, weighted=weighted), "sketches")
     own = F.when(F.col("size") == 0, F.col("uid")).otherwise(F.lit(-1))
     # Written, so that the join below reads it and Spark can split a shingle set that very many texts share.
     same = write_once(sketches.groupBy("set_key", "size", own.alias("own")).agg(F.min("uid").alias("rep")), "sets")
@@ -233,7 +228,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     met = write_once(members.join(leads.filter("n > 1"), "bucket").select("bucket", "uid", "size", "lead"), "buckets")
     stars = met.filter(F.col("uid") != F.col("lead.uid")).filter(_comparable(F.col("size"), F.col("lead.size"), threshold))
     stars = stars.select(F.col("uid").alias("u"), F.col("lead.uid").alias("v")).distinct()
-    shingles = write_once(_shingles_of(docs, met.select("uid").distinct(), id_col, text_col, n), "shingles")
+    shingles = write_once(_shingles_of(texts, met.select("uid").distinct(), n), "shingles")
     links = write_once(_verified(stars, shingles, threshold), "star-links")
 
     roots = write_once(components(links), "roots")
@@ -266,7 +261,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    stay = near_duplicates(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("uid").alias("__uid"))
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns. ``docs`` is scanned once."""
+    rows, uid = store_rows(docs)
+    classes = near_duplicates(rows, id_col=id_col, text_col=text_col, uid_col=uid)
+    stay = classes.filter("kept").select(F.col("uid").alias(uid))
     stay = stay.hint("merge")  # it grows with the input, so it is never broadcast
-    return docs.withColumn("__uid", F.monotonically_increasing_id()).join(stay, "__uid", "left_semi").drop("__uid")
+    return rows.join(stay, uid, "left_semi").drop(uid)

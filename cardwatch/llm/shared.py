@@ -17,16 +17,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
+def write_once(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the folder all executors share and go on from the written table.
 
     Cuts the lineage, so that a lost executor costs a read and not a recomputation, and fixes row ids.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(uid, doc_id, text) of every row, written once: all later passes read the stored uid.
+
+    A row's place differs between two scans if they are split differently, e.g. after an executor was lost.
+    """
+    uid = F.monotonically_increasing_id().alias("uid")
+    return write_once(docs.select(uid, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "texts", "zstd")
+
+
+def store_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` with a uid per row, written once, and the name of the uid, which no other column has."""
+    uid, taken = "__uid", {c.lower() for c in docs.columns}
+    while uid in taken:
+        uid += "_"
+    return write_once(docs.withColumn(uid, F.monotonically_increasing_id()), "rows", "zstd"), uid
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else. Texts in ASCII take the faster built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

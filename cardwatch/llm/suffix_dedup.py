@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm.log_index import Entries, LogIndex
-from cardwatch.llm.shared import write_once
+from cardwatch.llm.shared import store_texts, write_once
 from cardwatch.llm.spans import PAD, Chunk, chunks, mix, ranges
 
 LENGTH = 200
@@ -186,22 +186,18 @@ def _joined(uid: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple[np.ndar
     return uid[first], at[first], (reach - owner)[last] - at[first]
 
 
-def _numbered(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("uid"), F.col(text_col).alias("text"))
-
-
 def _exchange(blocks: DataFrame, buckets: int) -> DataFrame:
     """Every bucket's blocks in one task each, through the index."""
     return blocks.repartition(buckets, "bucket").mapInArrow(_through_index, "kind int, uid long, at long, count long")
 
 
-def repeated_windows(docs: DataFrame, *, text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_windows(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(uid, at, count): ``count`` windows of ``length`` bytes, from byte ``at`` on, that also start elsewhere.
 
-    ``uid`` is the row's place in the scan. Rows may overlap each other, but none is missing.
+    ``texts`` (uid, text) is read twice, so its uids must be stored. Rows may overlap each other, but none is missing.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = _numbered(docs, text_col)
+    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = texts.select("uid", "text")
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,13 +245,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     occurrences and occurrences in the same text count, and no string crosses texts.
 
     A null text counts as empty; texts shorter than ``length`` stay whole; a repeated row repeats every string of its own.
-    Other columns are ignored, whatever their names; an empty table gives an empty result. ``docs`` should be a written
-    table: its scan must give the rows in the same partitions twice.
+    Other columns are ignored, whatever their names; an empty table gives an empty result. ``docs`` is scanned
+    once and stored with a uid per row.
     """
-    runs = repeated_windows(docs, text_col=text_col, length=length, gram=gram)
+    texts = store_texts(docs, id_col, text_col)
+    runs = repeated_windows(texts, length=length, gram=gram)
     listed = runs.groupBy("uid").agg(F.collect_list(F.struct("at", "count")).alias("runs"))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.join(listed, "uid", "left").select("doc_id", "text", "runs")
+    rows = texts.join(listed, "uid", "left").select("doc_id", "text", "runs")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
