@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import nearest_neighbors, vote
+from cardwatch.learners.zoo import LEARNERS
 from cardwatch.operators import encode
 from cardwatch.operators import evaluate as ev
 from cardwatch.operators.importance import feature_importance
 from cardwatch.plans import ensemble, training
-from cardwatch.plans.run import RunConfig, run
+from cardwatch.plans.run import STACK_MEMBERS, RunConfig, run
 from cardwatch.schema import ID, LABEL, RAW_FEATURES, feature_names
 from cardwatch.session import scratch_path, settle
 from cardwatch.sources import artifacts, standin, tables
@@ -25,24 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 FEATURES = feature_names(standin.EVENT_TYPES)
 FOLDS = 5
 
-# Parameters inside the learners' search spaces. Where a space names a number of rounds, the registered fit takes a low one
-# of it, so that all folds of all learners finish on one machine; the defaults of the learners are the published ones.
-BUDGETS = {
-    "LogisticRegression": {"C": 1.0},
-    "RandomForest": {"n_estimators": 50, "max_depth": 9},
-    "ExtraTrees": {"n_estimators": 50, "max_depth": 11},
-    "XGBoost": {"n_estimators": 50, "learning_rate": 0.15, "max_depth": 5},
-    "LightGBM": {"n_estimators": 50, "learning_rate": 0.11, "max_depth": 5},
-    "CatBoost": {"iterations": 50, "learning_rate": 0.08, "depth": 6},
-    "AdaBoost": {"n_estimators": 124, "learning_rate": 0.67},
-    "GradientBoosting": {"n_estimators": 50, "learning_rate": 0.27, "max_depth": 3},
-    "SVC": {"C": 1.0},
-    "KNN": {"n_neighbors": 5, "weights": "distance"},
-    "GaussianNB": {"var_smoothing": 1e-9},
-    "MLPClassifier": {"hidden_layer_sizes": [50], "alpha": 0.08},
-}
-# Three members: the five of ``RunConfig`` with their rounds take several minutes per query on one machine (README).
-MEMBERS = ["LogisticRegression", "RandomForest", "GradientBoosting"]
+# The published parameters and rounds of every learner.
+BUDGETS = {name: learner.defaults for name, learner in LEARNERS.items()}
 
 NUMBERED = {
     "m20_logistic_regression": "LogisticRegression",
@@ -110,7 +95,7 @@ def m07_fit_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m11_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = {m: BUDGETS[m] for m in MEMBERS}
+    members = {m: BUDGETS[m] for m in STACK_MEMBERS}
     oof = ensemble.member_oof(members, table(spark, sf_dir), FEATURES)
     meta_oof, _, threshold = ensemble.stack(oof, list(members), FOLDS)
     stacked = meta_oof.withColumn("prediction", ev.threshold_predict(F.col("score"), threshold))
@@ -124,34 +109,50 @@ def m15_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_importance(spark, models, FEATURES)
 
 
-def scaled_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test with the raw numerics z-scored by the train statistics."""
-    train, test = raw_split(spark, sf_dir)
-    assembler = VectorAssembler(inputCols=RAW_FEATURES, outputCol="features")
-    doubles = {c: F.col(c).cast("double") for c in RAW_FEATURES}
-    return tuple(
-        assembler.transform(encode.standard_scale(df.withColumns(doubles), RAW_FEATURES, train)) for df in (train, test)
-    )
+def scaled_vectors(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Train and test with these columns z-scored by the train statistics."""
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+    doubles = {c: F.col(c).cast("double") for c in columns}
+    return tuple(assembler.transform(encode.standard_scale(df.withColumns(doubles), columns, train)) for df in (train, test))
 
 
 def neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = scaled_vectors(spark, sf_dir)
+    train, test = scaled_vectors(*raw_split(spark, sf_dir), RAW_FEATURES)
     return nearest_neighbors(test, train, 5, label=LABEL)
 
 
-def m29_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neighbors(spark, sf_dir)
+def neighbors_by_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = scaled_vectors(*(settle(engineered(df)) for df in raw_split(spark, sf_dir)), FEATURES)
+    return nearest_neighbors(test, train, 5, label=LABEL)
+
+
+def listed(found: DataFrame) -> DataFrame:
     return found.select(ID, F.col("rank").alias("neighbor_rank"), "neighbor_id", F.round("d2", 6).alias("d2"))
 
 
-def m29_knn_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neighbors(spark, sf_dir)
+def votes(found: DataFrame) -> DataFrame:
     near = vote(found, "distance").withColumnRenamed("score", "distance_score")
     return vote(found, "uniform").withColumnRenamed("score", "uniform_score").join(near, ID).select(
         ID, F.round("uniform_score", 6).alias("uniform_score"), F.round("distance_score", 6).alias("distance_score")
     )
 
 
+def m29_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listed(neighbors(spark, sf_dir))
+
+
+def m29_knn_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes(neighbors(spark, sf_dir))
+
+
+def m29_knn_join_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listed(neighbors_by_all_features(spark, sf_dir))
+
+
+def m29_knn_vote_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes(neighbors_by_all_features(spark, sf_dir))
+
+
 def m30_gaussian_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = raw_split(spark, sf_dir)
     assembler = VectorAssembler(inputCols=RAW_FEATURES, outputCol="features")
@@ -188,14 +189,7 @@ def x05_stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def r01_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = raw_split(spark, sf_dir)
-    config = RunConfig(
-        vote_members=MEMBERS,
-        stack_members=MEMBERS,
-        merchants=standin.EVENT_TYPES,
-        params={m: BUDGETS[m] for m in MEMBERS},
-        folds=FOLDS,
-        output=scratch_path(spark, "run"),
-    )
+    config = RunConfig(merchants=standin.EVENT_TYPES, folds=FOLDS, output=scratch_path(spark, "run"))
     return run(train, test, config).submission
 
 
@@ -251,10 +245,7 @@ def s06_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest difference between the scores of a model and of the same model saved and loaded, for every kind of learner."""
     _, test = raw_split(spark, sf_dir)
     names = ["LogisticRegression", "RandomForest", "AdaBoost", "GradientBoosting", "SVC", "KNN", "GaussianNB", "MLPClassifier"]
-    # What is saved does not depend on how long a learner was trained.
-    short = {"n_estimators": 5, "max_iter": 10, "max_depth": 4}
-    params = {n: BUDGETS[n] | {k: v for k, v in short.items() if k in BUDGETS[n] or k == "max_iter"} for n in names}
-    models = ensemble.member_models(params, learning_rows(spark, sf_dir), FEATURES)
+    models = ensemble.member_models({n: BUDGETS[n] for n in names}, learning_rows(spark, sf_dir), FEATURES)
     path = scratch_path(spark, "artifacts")
     artifacts.save_models(models, path)
     before = ensemble.member_scores(models, engineered(test))
@@ -299,6 +290,8 @@ def learner_queries() -> dict[str, Query]:
         **{key: oof_of(name) for key, name in NUMBERED.items()},
         "m29_knn_join": m29_knn_join,
         "m29_knn_vote": m29_knn_vote,
+        "m29_knn_join_all_features": m29_knn_join_all_features,
+        "m29_knn_vote_all_features": m29_knn_vote_all_features,
         "m30_gaussian_nb": m30_gaussian_nb,
         "m05_oof_coverage": m05_oof_coverage,
         "m20_category_rate": m20_category_rate,
