@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import bpe, exact_dedup, language, license_scan, lm_scoring, near_dups, packing, personal, quality_rules, suffix_dedup
+from cardwatch.llm import (
+    bpe,
+    exact_dedup,
+    filter_audit,
+    importance,
+    language,
+    license_scan,
+    lm_scoring,
+    near_dups,
+    packing,
+    personal,
+    quality_rules,
+    suffix_dedup,
+    url_filter,
+)
 from cardwatch.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +117,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_personal_data": op1_personal_data,
@@ -115,4 +143,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_url_filter": op12_url_filter,
+        "op13_filter_audit": op13_filter_audit,
     }

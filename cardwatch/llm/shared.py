@@ -54,3 +54,33 @@ def lower_ascii(text: Column) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once for a row, however often the body mentions it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: ``join_by_key`` spreads a key that holds more than one in this many rows.
+SHARES = 1000
+
+
+def hot_keys(counts: DataFrame, key: str, share: int = SHARES) -> DataFrame:
+    """(key, __slices) of the keys that hold more than one in ``share`` rows, by ``counts`` (key, n): at most ``share`` of them."""
+    whole = counts.agg(F.sum("n")).first()[0] or 0
+    slices = F.ceil(F.col("n") * share / F.lit(max(whole, 1))).cast("int")
+    return counts.select(key, slices.alias("__slices")).filter("__slices > 1")
+
+
+def dealt(rows: DataFrame, hot: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Add ``__slice``: rows of a hot key are dealt into its slices. Hot keys are few whatever the size of the tables."""
+    place = F.pmod(F.xxhash64(spread_by), F.coalesce("__slices", F.lit(1))).cast("int")
+    return rows.join(F.broadcast(hot), key, "left").withColumn("__slice", place).drop("__slices")
+
+
+def copied(facts: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """Add ``__slice``: one copy of a hot key's row for each of its slices."""
+    slices = F.sequence(F.lit(0), F.coalesce("__slices", F.lit(1)) - 1)
+    return facts.join(F.broadcast(hot), key, "left").withColumn("__slice", F.explode(slices)).drop("__slices")
+
+
+def join_by_key(rows: DataFrame, facts: DataFrame, key: str, counts: DataFrame, spread_by: str, how: str = "inner") -> DataFrame:
+    """Join of ``rows`` with ``facts`` (unique by ``key``) that no hot key holds up; ``counts`` (key, n) are the rows per key."""
+    hot = hot_keys(counts, key)
+    met = dealt(rows, hot, key, spread_by).join(copied(facts, hot, key), [key, "__slice"], how)
+    return met.drop("__slice")

@@ -107,10 +107,16 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def folded_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words between blanks, with A-Z lower-cased: (folded bytes, starts, lengths, index of each text's first word)."""
+#: Every ASCII character but digits and letters.
+NOT_ALPHANUMERIC = np.ones(256, bool)
+NOT_ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
+
+def folded_words(chunk: Chunk, between: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between blanks (bytes marked in ``between``), with A-Z lower-cased: (folded bytes, starts, lengths, index of each
+    text's first word)."""
     data = _FOLD[chunk.data]
-    inside = ~_BLANK[data[: chunk.size]]
+    inside = ~between[data[: chunk.size]]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edge = chunk.offsets[:-1]
