@@ -5,7 +5,7 @@ are the same wherever the line stands, so they are counted once per distinct lin
 the line's share of a weight. Runs that cross lines depend on their surroundings and are added per document.
 
 Two tables come out of one pass each and serve both questions, how often a bucket occurs and what a document weighs: ``lines``
-(key, n, n_words, buckets) and ``crossing`` (uid, buckets).
+(key, n, n_words, buckets) and ``documents`` (uid, doc_id, keys of its lines, buckets of what crosses lines). No text is stored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.shared import join_by_key, lower_ascii, store_texts, write_once
+from cardwatch.llm.shared import join_by_key, lower_ascii, write_once
 from cardwatch.llm.spans import NOT_ALPHANUMERIC, chunks, folded_words
 
 ORDER = 3
@@ -104,7 +104,7 @@ def _in_lines(buckets: int):
 
 
 def _across_lines(buckets: int):
-    """Of every text that has any, the runs of words which a newline interrupts."""
+    """Of every text the runs of words which a newline interrupts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,14 +116,11 @@ def _across_lines(buckets: int):
                 for k in range(1, ORDER):
                     wanted[: len(starts) - k, k] = (line[k:] != line[: len(starts) - k]) & (left[: len(starts) - k] > k)
                 # Words far from any newline need no hash.
-                near = np.flatnonzero(wanted.any(axis=1))
-                found = _runs_near(data, starts, lengths, near, wanted, buckets)
+                found = _runs_near(data, starts, lengths, np.flatnonzero(wanted.any(axis=1)), wanted, buckets)
                 at = np.append(0, np.cumsum(wanted.sum(axis=1)))[bounds]
-                have = np.flatnonzero(np.diff(at))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("uid").slice(chunk.first, chunk.rows).take(pa.array(have)), _lists(at, found).take(pa.array(have))],
-                    ["uid", "buckets"],
-                )
+                own = batch.slice(chunk.first, chunk.rows)
+                names = ["uid", "doc_id", "keys"]
+                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in names], _lists(at, found)], [*names, "buckets"])
 
     return count
 
@@ -136,38 +133,49 @@ def _runs_near(data, starts, lengths, near, wanted, buckets) -> np.ndarray:
     return run_buckets(data, starts[reach], lengths[reach], asked, buckets)
 
 
+def _key(line: Column) -> Column:
+    """16 bytes of a digest stand for a line."""
+    return F.substring(F.unhex(F.sha2(line.cast("binary"), 256)), 1, 16)
+
+
 class Segments:
-    """The distinct lines of stored texts and what crosses lines, each written once."""
+    """The distinct lines of a table of texts, and each text as its lines and what crosses them; both written once."""
 
-    def __init__(self, texts: DataFrame, buckets: int):
-        """``texts``: (uid, text), stored."""
-        lowered = lower_ascii(F.coalesce("text", F.lit("")))
+    def __init__(self, docs: DataFrame, buckets: int):
+        """``docs``: (doc_id, text). It is scanned twice, but only the second scan numbers its rows, so their order may change."""
+        text = lower_ascii(F.coalesce("text", F.lit("")))
         # A line without a word has no features and separates nothing that its newlines do not.
-        has_word = F.col("line").rlike(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
-        pieces = texts.select("uid", F.explode(F.split(lowered, "\n")).alias("line")).filter(has_word)
-        key = F.unhex(F.sha2("line", 256)).alias("key")
-        distinct = pieces.groupBy("line").agg(F.count("*").alias("n")).select(key, "n", "line")
+        lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"))
+        distinct = docs.select(F.explode(lines).alias("line")).groupBy("line").agg(F.count("*").alias("n"))
         self.lines = write_once(
-            distinct.mapInArrow(_in_lines(buckets), "key binary, n long, n_words long, buckets array<smallint>"), "lines", "zstd"
+            distinct.select(_key(F.col("line")).alias("key"), "n", "line").mapInArrow(
+                _in_lines(buckets), "key binary, n long, n_words long, buckets array<smallint>"
+            ),
+            "lines",
+            "zstd",
+        )
+        rows = docs.select(
+            F.monotonically_increasing_id().alias("uid"), "doc_id", F.transform(lines, _key).alias("keys"), F.coalesce("text", F.lit("")).alias("text")
         )
-        self.crossing = write_once(
-            texts.select("uid", "text").mapInArrow(_across_lines(buckets), "uid long, buckets array<smallint>"), "crossing", "zstd"
+        kind = rows.schema["doc_id"].dataType.simpleString()
+        self.documents = write_once(
+            rows.mapInArrow(_across_lines(buckets), f"uid long, doc_id {kind}, keys array<binary>, buckets array<smallint>"), "texts", "zstd"
         )
-        self.places = pieces.select("uid", key)
 
     def bucket_counts(self) -> DataFrame:
         """(bucket, n): at most as many rows as there are buckets."""
         inside = self.lines.select("n", F.explode("buckets").alias("bucket"))
-        across = self.crossing.select(F.lit(1).cast("long").alias("n"), F.explode("buckets").alias("bucket"))
+        across = self.documents.select(F.lit(1).cast("long").alias("n"), F.explode("buckets").alias("bucket"))
         return inside.unionAll(across).groupBy("bucket").agg(F.sum("n").alias("n"))
 
     def parts(self, gains: np.ndarray) -> DataFrame:
-        """(uid, n_words, n_features, weight): one row per line with a word, and one for what crosses a text's lines."""
+        """(uid, doc_id, n_words, n_features, weight): one row per line with a word, without an id, and one per text for what crosses
+        its lines."""
         weighed = _weighed(self.lines, ["key", "n_words"], gains)
-        lines = join_by_key(self.places, weighed, "key", self.lines.select("key", "n"), spread_by="uid")
-        columns = ["uid", "n_words", "n_features", "weight"]
-        across = _weighed(self.crossing.withColumn("n_words", F.lit(0).cast("long")), ["uid", "n_words"], gains)
-        return lines.select(*columns).unionAll(across.select(*columns))
+        places = self.documents.select("uid", F.explode("keys").alias("key"))
+        lines = join_by_key(places, weighed, "key", self.lines.select("key", "n"), spread_by="uid")
+        across = _weighed(self.documents, ["uid", "doc_id"], gains).withColumn("n_words", F.lit(0).cast("long"))
+        return lines.drop("key").unionByName(across, allowMissingColumns=True)
 
 
 def _weighed(df: DataFrame, keep: list[str], gains: np.ndarray) -> DataFrame:
@@ -229,21 +237,17 @@ def resample(
 
     A null or empty text has no feature, weighs 0 and is never drawn. A null id takes the noise of the empty id and comes last
     among ties; repeated rows are rows of their own, all with the same score. An empty target leaves the gains of the
-    source's shares; an empty table gives an empty result. Other columns are ignored, whatever their names. ``docs``
-    is scanned once and stored with a uid per row.
+    source's shares; an empty table gives an empty result. Other columns are ignored, whatever their names.
     """
     if not 0 < buckets <= 1 << 15:
         raise ValueError("buckets must fit 16 bits")
-    texts = store_texts(docs, id_col, text_col)
-    source = Segments(texts, buckets)
-    aim = Segments(store_texts(target.select(F.lit(0).alias("id"), target_text_col), "id", target_text_col), buckets)
+    source = Segments(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), buckets)
+    aim = Segments(target.select(F.lit(0).alias("doc_id"), F.col(target_text_col).alias("text")), buckets)
     gains = bucket_gains(source.bucket_counts(), aim.bucket_counts(), buckets)
 
-    zero = F.lit(0).cast("long")
-    rows = texts.select("uid", "doc_id", *[zero.alias(c) for c in ("n_words", "n_features", "weight")])
     sums = [F.sum(c).alias(c) for c in ("n_words", "n_features", "weight")]
     weighed = (
-        rows.unionByName(source.parts(gains), allowMissingColumns=True)
+        source.parts(gains)
         .groupBy("uid")
         .agg(F.max("doc_id").alias("doc_id"), *sums)
         .withColumn("score", F.col("weight") + gumbel(F.col("doc_id"), seed))
