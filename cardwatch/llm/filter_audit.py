@@ -26,7 +26,7 @@ _MARKS = re.compile(rb"[#$%&*|]")
 
 #: A task's trie is emptied when it holds this many bytes of distinct texts.
 FLUSH_BYTES = 16 << 20
-#: A prefix that more bytes of text share is made longer.
+#: A prefix that more bytes of text share, or more than a quarter of a task's part of them, is made longer.
 PREFIX_BYTES = 16 << 20
 #: Lengths of prefixes, in characters. Texts alike beyond the last are told apart by a digest of the whole text.
 PREFIXES = (32, 128, 512)
@@ -154,9 +154,7 @@ def _judge(kind: pa.DataType):
     return judge
 
 
-def with_prefixes(
-    texts: DataFrame, *, most_bytes: int = PREFIX_BYTES, lengths: tuple[int, ...] = PREFIXES
-) -> DataFrame:
+def with_prefixes(texts: DataFrame, most_bytes: int, lengths: tuple[int, ...] = PREFIXES) -> DataFrame:
     """Add ``prefix``, equal for equal texts: the shortest of the given lengths that no more than ``most_bytes`` of text share.
 
     ``texts`` (uid, doc_id, octets, text), stored. Each length beyond the first is tried only where it is needed, and what is too
@@ -210,7 +208,7 @@ def failure_masks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     standing = judged.filter(F.col("text").isNotNull()).select("uid", "doc_id", "octets", "text")
     n_bytes = judged.filter(F.col("text").isNotNull()).agg(F.sum("octets")).first()[0] or 0
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // PREFIX_BYTES + 1)
-    dealt = with_prefixes(standing).select("prefix", "uid", "doc_id", "text")
+    dealt = with_prefixes(standing, min(PREFIX_BYTES, n_bytes // (4 * tasks) + 1)).select("prefix", "uid", "doc_id", "text")
     dealt = dealt.repartitionByRange(tasks, "prefix").sortWithinPartitions("prefix")
     late = dealt.mapInArrow(_not_smallest, "rep long").withColumn("late", F.lit(True))
     again = F.col("again") | F.col("late").isNotNull()

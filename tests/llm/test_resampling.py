@@ -228,7 +228,7 @@ LABELS = [(i, i % 2, (i // 2) % 2) for i in range(0, 290)] + [(4, 1, 1), (None,
 @pytest.mark.parametrize("flush, most, tasks", [(16 << 20, 16 << 20, 1), (2000, 3000, 7)])
 def test_audit_against_plain_python(spark, monkeypatch, flush, most, tasks):
     monkeypatch.setattr(filter_audit, "FLUSH_BYTES", flush)
-    monkeypatch.setattr(filter_audit.with_prefixes, "__kwdefaults__", {**filter_audit.with_prefixes.__kwdefaults__, "most_bytes": most})
+    monkeypatch.setattr(filter_audit, "PREFIX_BYTES", most)
     rows = audit_rows()
     docs = spark.createDataFrame([(*r, 1, "x", "y") for r in rows], "doc_id long, source string, text string, mask int, uid string, part string")
     labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
