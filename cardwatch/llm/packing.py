@@ -9,6 +9,7 @@ pieces of its length; ranks come from counts per partition, so no length meets i
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm.bpe import encode_chunk
 from cardwatch.llm.shared import write_once
-from cardwatch.llm.spans import chunks, ranges
+from cardwatch.llm.spans import Chunk, chunks, ranges
 
 #: How many encoded pre-tokens a worker remembers before it starts anew.
 REMEMBERED = 400_000
@@ -36,6 +37,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens that depend on what stands around them are not supported")
+        #: Tokens that stand for themselves wherever a text holds them; the longest one first.
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        self.any_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if added else None
+        # Those are cut out before; a pre-token is ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
@@ -50,6 +58,27 @@ class WordEncoder:
         return [self.known[p] for p in pieces]
 
 
+    def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_chunk`` with added tokens: ids of all texts, and where each text's ids start."""
+        raw = chunk.data[: chunk.size].tobytes()
+        if self.any_added is None or not self.any_added.search(raw):
+            return encode_chunk(chunk, self.resolve)
+        edges = chunk.offsets.tolist()
+        found = [m for a, b in zip(edges, edges[1:]) for m in self.any_added.finditer(raw, a, b)]
+        starts = np.array([m.start() for m in found], np.int64)
+        bounds = np.unique(np.concatenate([chunk.offsets, starts, [m.end() for m in found]])).astype(np.int64)
+        ids, at = encode_chunk(Chunk(chunk.first, chunk.data, bounds), self.resolve)
+        whole = np.isin(bounds[:-1], starts)
+        counts = np.diff(at)
+        kept = np.repeat(~whole, counts)
+        counts = np.where(whole, 1, counts)
+        at = np.append(0, np.cumsum(counts))
+        out = np.empty(at[-1], np.uint32)
+        out[ranges(at[:-1][~whole], counts[~whole])] = ids[kept]
+        out[at[:-1][whole]] = [self.added[m.group()] for m in found]
+        return out, at[np.searchsorted(bounds, chunk.offsets)]
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
@@ -70,17 +99,17 @@ def token_pieces(
     Returns per piece: doc_id, piece (from 0), start (tokens before it), length, ids_crc32 (of the ids as little-endian
     32-bit integers), part and rank (place among the pieces of this length in this partition), and ids if asked for. Of a
     document that is cut, the first piece is the shorter one. ``tokenizer`` is the path of a byte-level BPE file that
-    every executor has. A null or empty text is the ``end_id`` alone; null ids and repeated rows pass through; other
+    every executor has; its added tokens have their own ids where a text holds them. A null or empty text is the ``end_id`` alone; null ids and repeated rows pass through; other
     columns are ignored, whatever their names; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resolve, part = _encoder(tokenizer).resolve, TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for chunk in chunks(batch.column(1)):
-                found, ends = encode_chunk(chunk, resolve)
+                found, ends = encoder.encode(chunk)
                 ids = np.insert(found.astype("<u4"), ends[1:], end_id)
                 ends = ends + np.arange(chunk.rows + 1)
                 tokens = np.diff(ends)

@@ -37,9 +37,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(TOKENIZER)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def test_random_texts_encode_as_the_library_does(reference):
@@ -106,6 +104,19 @@ def check_packing(rows, texts, tokenizer, capacity=2048):
     return len(held)
 
 
+def test_added_tokens_have_their_own_ids(tokenizer):
+    encoder, pick = packing.WordEncoder(TOKENIZER), random.Random(7)
+    signs = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "a", " world", "'s", "é", "<", "<|", "endoftext"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|>", "", "<|endof", "text|>", ""]
+    texts += ["".join(pick.choices(signs, k=pick.randint(0, 12))) for _ in range(600)]
+    for size in (40, 1 << 14):
+        for chunk in chunks(pa.array(texts), size):
+            ids, ends = encoder.encode(chunk)
+            for r in range(chunk.rows):
+                assert ids[ends[r] : ends[r + 1]].tolist() == tokenizer.encode(texts[chunk.first + r], add_special_tokens=False).ids
+    assert encoder.encode(next(chunks(pa.array(texts[:1]))))[0].tolist() == [31373, 220, 50256, 995]
+
+
 def test_op10_pieces_and_sequences(spark, small, tokenizer):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     rows = op10_best_fit_packing(spark, small).collect()
