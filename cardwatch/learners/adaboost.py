@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,12 +12,13 @@ from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from cardwatch.session import discard, scratch_path
+from cardwatch.learners.boosting import Ensemble, as_rows, class_weighted, fit_side_by_side
+from cardwatch.learners.trees import BranchingTree
 
 Stump = tuple[int, float, float, float]
 
+
 def votes_positive(x: Column, stump: Stump) -> Column:
     feature, threshold, below, above = stump
     if below == above:
@@ -34,136 +34,34 @@ class _BoostParams(HasFeaturesCol, HasLabelCol):
 
 
 class AdaBoostStumps(Estimator, _BoostParams):
-    """Boosting rounds, each one aggregate over binned features.
-
-    Features are cut into bins once. A round sums the weights per feature, bin and class; from these sums, whose
-    number depends on features and bins only, come the stump of least impurity and its error. Weights are a column; every
-    few rounds the table is written anew with the stumps since then worked in, so a round costs the same however many
-    came before it.
-    """
+    """Boosting rounds, each one aggregate over binned features (see ``boosting``)."""
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", rounds=50, learningRate=1.0, maxBins=32):
+    def __init__(self, *, featuresCol="features", labelCol="label", rounds=50, learningRate=1.0, maxBins=128):
         super().__init__()
-        self._setDefault(maxBins=32)
+        self._setDefault(maxBins=128)
         self._set(**self._input_kwargs)
 
-    def _thresholds(self, rows: DataFrame) -> list[list[float]]:
-        """Per feature the values at which it may be split: up to ``maxBins`` quantiles, without the largest value."""
-        width = rows.select(F.size("x")).first()
-        if width is None:
-            raise ValueError("no rows to fit")
-        wide = rows.select(*[F.col("x")[i].alias(f"f{i}") for i in range(width[0])])
-        bins = self.getOrDefault(self.maxBins)
-        found = wide.approxQuantile(wide.columns, [i / bins for i in range(bins + 1)], 0.25 / bins)
-        highest = wide.agg(*[F.max(c) for c in wide.columns]).first()
-        return [sorted({v for v in values if v < top}) for values, top in zip(found, highest, strict=True)]
-
     def _fit(self, dataset: DataFrame) -> AdaBoostModel:
         features, label = self.getFeaturesCol(), self.getLabelCol()
-        rate = self.getOrDefault(self.learningRate)
-        rows = dataset.select(vector_to_array(features).alias("x"), (F.col(label) == 1).alias("y"))
-        thresholds = self._thresholds(rows)
-
-        def bin_of(i: int, cuts: list[float]) -> Column:
-            above = F.filter(F.array(*map(F.lit, cuts)), lambda t: F.col("x")[i] > t) if cuts else F.array()
-            return F.size(above).cast("short")
-
-        bins = F.array(*[bin_of(i, cuts) for i, cuts in enumerate(thresholds)])
-        held = _Held(rows.select("y", bins.alias("bins"), F.lit(1.0).alias("weight")))
-        used: list[tuple[Stump, float]] = []
-        try:
-            for _ in range(self.getOrDefault(self.rounds)):
-                stump, cut, error, total = _best_stump(held.sums(), thresholds)
-                if error >= 0.5:
-                    break
-                if error <= 0.0:
-                    used.append((stump, 1.0))
-                    break
-                say = rate * math.log((1.0 - error) / error)
-                used.append((stump, say))
-                guess = F.lit(stump[2] == 1.0) if cut is None else votes_positive_bin(F.col("bins"), stump, cut)
-                # The total weight stays what it was, so that weights neither vanish nor explode.
-                grown = 1.0 + (math.exp(say) - 1.0) * error
-                held.reweigh(F.when(guess != F.col("y"), math.exp(say) / grown).otherwise(1.0 / grown))
-        finally:
-            held.release()
-        flat = [v for stump, say in used for v in (*map(float, stump), say)]
-        return AdaBoostModel(featuresCol=features, labelCol=label, stumps=flat)
-
-
-def votes_positive_bin(bins: Column, stump: Stump, cut: int) -> Column:
-    """``votes_positive`` over binned features."""
-    feature, _, below, above = stump
-    if below == above:
-        return F.lit(below == 1.0)
-    at_most = bins[feature] <= cut
-    return ~at_most if above == 1.0 else at_most
+        params = {"n_estimators": self.getOrDefault(self.rounds), "learning_rate": self.getOrDefault(self.learningRate)}
+        rows = as_rows(dataset, features, label, fold=F.lit(-1))
+        found = fit_side_by_side(rows, [class_weighted(params, "adaboost")], most_cuts=self.getOrDefault(self.maxBins))[0]
+        return stump_model(found, features, label)
+
+
+def stump_model(found: Ensemble, features: str, label: str) -> AdaBoostModel:
+    flat = [v for tree in found.trees for v in _stump(tree, found.cuts)]
+    return AdaBoostModel(featuresCol=features, labelCol=label, stumps=flat)
 
 
-def _best_stump(sums: list, thresholds: list[list[float]]) -> tuple[Stump, int | None, float, float]:
-    """(stump, its bin, share of weight it gets wrong, total weight) of the split that leaves the least Gini impurity.
-
-    On a tie the first feature and the lowest threshold win. Without a split that helps, the larger class everywhere.
-    """
-    width, depth = len(thresholds), max(map(len, thresholds)) + 1
-    held = np.zeros((width, depth, 2))
-    for r in sums:
-        held[r["feature"], r["bin"], int(r["y"])] = r["weight"]
-    low = held.cumsum(axis=1)[:, :-1]
-    whole = held[0].sum(axis=0)
-    high = whole - low
-    total = whole.sum()
-
-    def impurity(side: np.ndarray) -> np.ndarray:
-        n = side.sum(axis=-1)
-        return n - (side**2).sum(axis=-1) / np.where(n > 0, n, 1.0)
-
-    left = impurity(low) + impurity(high)
-    left[np.arange(depth - 1)[None, :] >= np.array([len(t) for t in thresholds])[:, None]] = np.inf
-    major = float(whole[1] > whole[0])
-    if not left.size or left.min() >= impurity(whole) * (1 - 1e-12):
-        return (0, math.inf, major, major), None, whole.min() / total, total
-    feature, cut = np.unravel_index(np.flatnonzero(left.ravel() <= left.min() * (1 + 1e-12))[0], left.shape)
-    sides = low[feature, cut], high[feature, cut]
-    below, above = (float(side[1] > side[0]) for side in sides)
-    error = sum(side.min() for side in sides) / total
-    return (int(feature), thresholds[feature][cut], below, above), int(cut), error, total
-
-
-class _Held:
-    """The binned rows with their weights, written anew every ``EVERY`` rounds."""
-
-    EVERY = 10
-
-    def __init__(self, rows: DataFrame):
-        self.spark, self.path, self.since = rows.sparkSession, None, 0
-        self._write(rows)
-
-    def _write(self, rows: DataFrame) -> None:
-        path = scratch_path(self.spark, "boosting")
-        rows.write.parquet(path)
-        self.release()
-        self.path, self.since = path, 0
-        self.stored = self.spark.read.schema(rows.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
-        self.rows = self.stored
-
-    def sums(self) -> list:
-        """Weight by feature, bin and class; their number does not depend on the rows."""
-        long = self.rows.select("y", "weight", F.posexplode("bins").alias("feature", "bin"))
-        return long.groupBy("feature", "bin", "y").agg(F.sum("weight").alias("weight")).collect()
-
-    def reweigh(self, factor: Column) -> None:
-        self.rows = self.rows.withColumn("weight", F.col("weight") * factor)
-        self.since += 1
-        if self.since == self.EVERY:
-            self._write(self.rows)
-
-    def release(self) -> None:
-        if self.path:
-            self.stored.unpersist()
-            discard(self.spark, self.path)
-            self.path = None
+def _stump(tree: BranchingTree, cuts: list[list[float]]) -> list[float]:
+    """Feature, threshold, class at or below, class above, say."""
+    feature = int(tree.feature[0])
+    if feature < 0:
+        return [0.0, math.inf, *[float(tree.value[0] > 0)] * 2, abs(float(tree.value[0]))]
+    below, above = (float(tree.value[side[0]]) for side in (tree.left, tree.right))
+    return [float(feature), cuts[feature][tree.cut[0] - 1], float(below > 0), float(above > 0), abs(below)]
 
 
 class AdaBoostModel(Model, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):

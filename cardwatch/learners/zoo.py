@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
 )
 
 from cardwatch.learners.adaboost import AdaBoostStumps
+from cardwatch.learners.boosting import HistogramBooster, class_weighted
 from cardwatch.learners.calibrated_svc import CalibratedLinearSVC
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import NearestNeighbors
@@ -29,8 +30,6 @@ class Setting:
     n_features: int
     weight_sum: float
     features: str
-    #: Boosting rounds where the parameters name none.
-    rounds: int = 100
 
 
 @dataclass(frozen=True)
@@ -42,6 +41,8 @@ class Learner:
     script_space: dict[str, tuple]
     notebook_space: dict[str, tuple]
     defaults: dict
+    #: Growth of a booster, whose folds and trials are fitted side by side.
+    preset: str | None = None
 
 
 def _logistic(p: dict, s: Setting) -> Estimator:
@@ -84,16 +85,20 @@ def _extra_trees(p: dict, s: Setting) -> Estimator:
     )
 
 
-def _boosted(p: dict, s: Setting) -> Estimator:
-    return GBTClassifier(
-        featuresCol=s.features,
-        labelCol=LABEL,
-        weightCol="weight",
-        maxIter=p.get("n_estimators", p.get("iterations", s.rounds)),
-        stepSize=p["learning_rate"],
-        maxDepth=p.get("max_depth", p.get("depth", 6)),
-        seed=SEED,
-    )
+def _boosted(preset: str) -> Callable[[dict, Setting], Estimator]:
+    def build(p: dict, s: Setting) -> Estimator:
+        fit = class_weighted(p, preset)
+        return HistogramBooster(
+            featuresCol=s.features,
+            labelCol=LABEL,
+            weightCol="weight",
+            preset=preset,
+            rounds=fit.rounds,
+            learningRate=fit.rate,
+            maxDepth=fit.growth.depth,
+        )
+
+    return build
 
 
 def _adaboost(p: dict, s: Setting) -> Estimator:
@@ -160,26 +165,35 @@ _ALL = [
     ),
     Learner("RandomForest", _forest, "balanced", False, _FOREST_SCRIPT, _FOREST_WIDE, {"n_estimators": 100, "max_depth": 9}),
     Learner("ExtraTrees", _extra_trees, "balanced", False, _FOREST_WIDE, _FOREST_WIDE, {"n_estimators": 100, "max_depth": 11}),
-    Learner("XGBoost", _boosted, "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK, {"learning_rate": 0.15, "max_depth": 5}),
-    Learner("LightGBM", _boosted, "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK, {"learning_rate": 0.11, "max_depth": 8}),
     Learner(
-        "CatBoost", lambda p, s: _boosted({"iterations": 1000} | p, s), "balanced", False,
+        "XGBoost", _boosted("xgboost"), "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK,
+        {"learning_rate": 0.15, "max_depth": 5}, "xgboost",
+    ),
+    Learner(
+        "LightGBM", _boosted("lightgbm"), "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK,
+        {"learning_rate": 0.11, "max_depth": 8}, "lightgbm",
+    ),
+    Learner(
+        "CatBoost", _boosted("catboost"), "balanced", False,
         {"learning_rate": ("log", 0.01, 0.3), "depth": ("int", 4, 8)},
         {"iterations": ("int", 50, 300), "depth": ("int", 4, 10), "learning_rate": ("log", 1e-3, 0.3)},
         # Fixed value: the rounds of that library when none are given.
         {"iterations": 1000, "learning_rate": 0.08, "depth": 6},
+        "catboost",
     ),
     Learner(
         "AdaBoost", _adaboost, None, False,
         {"n_estimators": ("int", 50, 200), "learning_rate": ("log", 0.01, 1.0)},
         {"n_estimators": ("int", 50, 200), "learning_rate": ("log", 1e-3, 1.0)},
         {"n_estimators": 124, "learning_rate": 0.67},
+        "adaboost",
     ),
     Learner(
-        "GradientBoosting", _boosted, None, False,
+        "GradientBoosting", _boosted("gradient_boosting"), None, False,
         {"n_estimators": ("int", 50, 200), "learning_rate": ("log", 0.01, 0.3), "max_depth": ("int", 3, 8)},
         {"n_estimators": ("int", 50, 200), "learning_rate": ("log", 1e-3, 0.3), "max_depth": ("int", 3, 8)},
         {"n_estimators": 191, "learning_rate": 0.27, "max_depth": 3},
+        "gradient_boosting",
     ),
     Learner(
         "SVC", _svc, "balanced", True,
@@ -205,6 +219,25 @@ _ALL = [
 LEARNERS = {learner.name: learner for learner in _ALL}
 
 
+def _built_in_boosting(p: dict, s: Setting) -> Estimator:
+    return GBTClassifier(
+        featuresCol=s.features,
+        labelCol=LABEL,
+        weightCol="weight",
+        maxIter=p["n_estimators"],
+        stepSize=p["learning_rate"],
+        maxDepth=p["max_depth"],
+        seed=SEED,
+    )
+
+
+#: The boosted trees that Spark has itself: labels as -1 and 1, one fit at a time. No preset uses them.
+BUILT_IN_BOOSTING = Learner(
+    "BuiltInBoosting", _built_in_boosting, None, False, _BOOST_SCRIPT, _BOOST_NOTEBOOK,
+    {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 3},
+)
+
+
 def notebook_variant(learner: Learner) -> Learner:
     """The same learner with the notebook's search space and without scaling; its perceptron stops after 200 iterations."""
     build = learner.build

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -17,16 +18,24 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cardwatch.learners.adaboost import stump_model
+from cardwatch.learners.boosting import HistogramBoosterModel, Trial, as_rows, class_weighted, fit_side_by_side, out_of_fold
 from cardwatch.learners.zoo import LEARNERS, Learner, Setting, notebook_variant
 from cardwatch.operators.evaluate import fold_mean_metrics, threshold_predict
 from cardwatch.operators.folds import stratified_folds
+from cardwatch.plans.sampler import propose
 from cardwatch.schema import ID, LABEL
 from cardwatch.session import settle, settled
 
 
-def feature_matrix(df: DataFrame, features: list[str]) -> DataFrame:
+def assembler(features: list[str], with_missing: bool = False) -> VectorAssembler:
+    """Inputs as one vector in a fixed column order; a missing value is NaN, or an error."""
+    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep" if with_missing else "error")
+
+
+def feature_matrix(df: DataFrame, features: list[str], with_missing: bool = False) -> DataFrame:
     """Model inputs as one vector in a fixed column order, next to id and label."""
-    return VectorAssembler(inputCols=features, outputCol="features").transform(df)
+    return assembler(features, with_missing).transform(df)
 
 
 def training_table(train: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
@@ -42,17 +51,21 @@ def class_counts(folded: DataFrame) -> dict[int, tuple[int, int]]:
     return {r["fold"]: (r["n0"], r["n1"]) for r in rows.collect()}
 
 
-def fit(learner: Learner, params: dict, train: DataFrame, features: list[str], n0: int, n1: int) -> PipelineModel:
-    """Assemble, scale if the learner asks for it, weight the classes, fit."""
-    if learner.weighting is not None and (n0 == 0 or n1 == 0):
+def class_weights(learner: Learner, n0: int, n1: int) -> tuple[float, float]:
+    """Weights of the two classes in ``n0`` and ``n1`` rows."""
+    if learner.weighting is None:
+        return 1.0, 1.0
+    if n0 == 0 or n1 == 0:
         raise ValueError("class weights need both classes")
     if learner.weighting == "balanced":
-        by_class = ((n0 + n1) / (2.0 * n0), (n0 + n1) / (2.0 * n1))
-    elif learner.weighting == "positives":
-        by_class = (1.0, n0 / n1)
-    else:
-        by_class = (1.0, 1.0)
-    stages = [VectorAssembler(inputCols=features, outputCol="features")]
+        return (n0 + n1) / (2.0 * n0), (n0 + n1) / (2.0 * n1)
+    return 1.0, n0 / n1
+
+
+def fit(learner: Learner, params: dict, train: DataFrame, features: list[str], n0: int, n1: int) -> PipelineModel:
+    """Assemble, scale if the learner asks for it, weight the classes, fit."""
+    by_class = class_weights(learner, n0, n1)
+    stages = [assembler(features, with_missing=learner.preset is not None)]
     column = "features"
     if learner.scaled:
         column = "scaled_features"
@@ -89,7 +102,11 @@ def score(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
 def oof_predict(
     learner: Learner, params: dict, folded: DataFrame, features: list[str], parallelism: int = 4
 ) -> DataFrame:
-    """Every row scored by the fold model that did not see it; fold fits run side by side."""
+    """Every row scored by the fold model that did not see it; fold fits run side by side, those of a booster in the same jobs."""
+    if learner.preset is not None:
+        scored = boosted_out_of_fold([(learner, params)], folded, features, [ID, LABEL, "fold"])
+        value = F.col("scores")[0]
+        return scored.select(ID, LABEL, "fold", value.alias("score"), (value > 0.5).cast("int").alias("prediction"))
     counts = class_counts(folded)
     n0, n1 = (sum(c[i] for c in counts.values()) for i in (0, 1))
 
@@ -103,6 +120,32 @@ def oof_predict(
     return reduce(DataFrame.unionByName, parts)
 
 
+def boosted_out_of_fold(trials: list[tuple[Learner, dict]], folded: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    """``keep`` and ``scores``, one out-of-fold score per booster with its parameters."""
+    counts = class_counts(folded)
+    n0, n1 = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    made = [
+        Trial(learner.preset, params, {f: class_weights(learner, n0 - own[0], n1 - own[1]) for f, own in counts.items()})
+        for learner, params in trials
+    ]
+    return out_of_fold(feature_matrix(folded, features, with_missing=True), "features", LABEL, keep, made)
+
+
+def boosted_models(trials: list[tuple[Learner, dict]], train: DataFrame, features: list[str]) -> list[PipelineModel]:
+    """Boosters with their parameters, fitted on all rows side by side."""
+    vectors = assembler(features, with_missing=True)
+    n0, n1 = train.agg(F.count_if(F.col(LABEL) == 0), F.count_if(F.col(LABEL) == 1)).first()
+    fits = [class_weighted(params, learner.preset, class_weights(learner, n0, n1)) for learner, params in trials]
+    rows = as_rows(vectors.transform(train), "features", LABEL, fold=F.lit(-1))
+    made = []
+    for (learner, _), found in zip(trials, fit_side_by_side(rows, fits)):
+        if learner.preset == "adaboost":
+            made.append(stump_model(found, "features", LABEL))
+        else:
+            made.append(HistogramBoosterModel(featuresCol="features", labelCol=LABEL, ensemble=found.to_json()))
+    return [PipelineModel([vectors, model]) for model in made]
+
+
 def cross_validate(
     learner: Learner, params: dict, folded: DataFrame, features: list[str], parallelism: int = 4
 ) -> DataFrame:
@@ -111,21 +154,6 @@ def cross_validate(
     return fold_mean_metrics(oof, F.col("prediction"), [])
 
 
-def draw(space: dict[str, tuple], rng: random.Random) -> dict:
-    """One point of a search space."""
-    params = {}
-    for name, (kind, *bounds) in space.items():
-        if kind == "log":
-            params[name] = math.exp(rng.uniform(math.log(bounds[0]), math.log(bounds[1])))
-        elif kind == "float":
-            params[name] = rng.uniform(*bounds)
-        elif kind == "int":
-            params[name] = rng.randint(*bounds)
-        else:
-            params[name] = rng.choice(bounds[0])
-    return params
-
-
 def tune(
     learner: Learner,
     folded: DataFrame,
@@ -136,23 +164,57 @@ def tune(
     fixed: dict | None = None,
     seed: int = 42,
     parallelism: int = 4,
+    side_by_side: int = 5,
+    seconds: float | None = None,
+    sampler: str = "parzen",
 ) -> DataFrame:
-    """Seeded random search for the highest mean-fold F1.
+    """Search for the highest mean-fold F1, by densities of good and bad trials (``parzen``) or at ``random``.
 
-    One row per trial, in trial order. A trial whose fit fails scores 0 and carries its error.
+    Trials are proposed in batches of ``side_by_side`` and run together, a booster's in the same jobs. What is proposed depends on the
+    seed and on finished batches only, so the same seed gives the same trials. After ``seconds`` no batch is begun. One row
+    per trial, in trial order. A trial whose fit fails scores 0 and carries its error.
     """
-    rng = random.Random(seed)
-    rows = []
-    for trial in range(n_trials):
-        params = draw(space or learner.script_space, rng) | (fixed or {})
+    rng, began = random.Random(seed), time.monotonic()
+    space = space or learner.script_space
+    rows, finished = [], []
+    while len(rows) < n_trials and (seconds is None or not rows or time.monotonic() - began < seconds):
+        size = min(side_by_side, n_trials - len(rows))
+        known = finished if sampler == "parzen" else []
+        drawn = [propose(space, known, rng) for _ in range(size)]
+        trials = [params | (fixed or {}) for params in drawn]
+        for params, tried, (f1, error) in zip(drawn, trials, _scores_of(learner, trials, folded, features, parallelism)):
+            finished.append((params, f1))
+            rows.append((len(rows), json.dumps(tried), float(f1), error))
+    return folded.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double, error string")
+
+
+def _scores_of(
+    learner: Learner, trials: list[dict], folded: DataFrame, features: list[str], parallelism: int
+) -> list[tuple[float, str | None]]:
+    """(mean-fold F1, error) of each trial."""
+    if learner.preset is not None:
+        try:
+            pairs = [(learner, params) for params in trials]
+            with settled(boosted_out_of_fold(pairs, folded, features, [LABEL, "fold"])) as oof:
+                long = oof.select(LABEL, "fold", F.posexplode("scores").alias("trial", "score"))
+                means = fold_mean_metrics(long, (F.col("score") > 0.5).cast("int"), ["trial"])
+                f1 = {r["trial"]: r["mean_f1"] for r in means.collect()}
+                return [(f1[k], None) for k in range(len(trials))]
+        except (IllegalArgumentException, ValueError) as failure:
+            if len(trials) == 1:
+                return [(0.0, str(failure))]
+            return [_scores_of(learner, [params], folded, features, parallelism)[0] for params in trials]
+
+    def one(params: dict) -> tuple[float, str | None]:
         try:
             with settled(oof_predict(learner, params, folded, features, parallelism)) as oof:
-                f1, error = fold_mean_metrics(oof, F.col("prediction"), []).first()["mean_f1"], None
+                return fold_mean_metrics(oof, F.col("prediction"), []).first()["mean_f1"], None
         except (IllegalArgumentException, ValueError) as failure:
             # Parameters that cannot be fitted. Anything else, such as a lost executor, ends the search.
-            f1, error = 0.0, str(failure)
-        rows.append((trial, json.dumps(params), float(f1), error))
-    return folded.sparkSession.createDataFrame(rows, "trial int, params string, mean_f1 double, error string")
+            return 0.0, str(failure)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(trials))) as pool:
+        return list(pool.map(inheritable_thread_target(folded.sparkSession)(one), trials))
 
 
 def best_params(trials: DataFrame) -> dict:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import nearest_neighbors, vote
-from cardwatch.learners.zoo import LEARNERS
+from cardwatch.learners.zoo import BUILT_IN_BOOSTING, LEARNERS, Learner
 from cardwatch.operators import encode
 from cardwatch.operators import evaluate as ev
 from cardwatch.operators.importance import feature_importance
@@ -207,12 +207,14 @@ def m05_oof_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fitted_on(spark: SparkSession, sf_dir: str, name: str, params: dict, features: list[str], keep: str) -> DataFrame:
+def fitted_on(spark: SparkSession, sf_dir: str, name: str | Learner, params: dict, features: list[str], *keep: str) -> DataFrame:
     """Scores of the train rows by a model of few columns: one row per value of ``keep``."""
     rows = raw_split(spark, sf_dir)[0].withColumn("category", F.col("merchant_category"))
+    # One column in which every fourth value is missing.
+    rows = rows.withColumn("known_foreign", F.when(F.col(ID) % 4 != 0, F.col("foreign_transaction")))
     rows = settle(encode.one_hot(rows, {"merchant_category": standin.EVENT_TYPES}))
-    model = training.fit_final(training.learner(name), params, rows, features)
-    return training.score(model, rows, [keep]).groupBy(keep).agg(F.max("score").alias("score"))
+    model = training.fit_final(training.learner(name) if isinstance(name, str) else name, params, rows, features)
+    return training.score(model, rows, list(keep)).groupBy(*keep).agg(F.max("score").alias("score"))
 
 
 def m20_category_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +233,34 @@ def m22_single_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m27_single_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One boosting round fits the means of the labels as -1 and 1."""
     params = {"n_estimators": 1, "learning_rate": 0.1, "max_depth": 1}
-    return rounded_score(fitted_on(spark, sf_dir, "GradientBoosting", params, ["foreign_transaction"], "foreign_transaction"))
+    return rounded_score(fitted_on(spark, sf_dir, BUILT_IN_BOOSTING, params, ["foreign_transaction"], "foreign_transaction"))
+
+
+PAIR = ["foreign_transaction", "location_mismatch"]
+
+
+def m27_two_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of depth 2 over two flags: every cell takes two Newton steps from the log odds."""
+    params = {"n_estimators": 2, "learning_rate": 0.3, "max_depth": 2}
+    return rounded_score(fitted_on(spark, sf_dir, "GradientBoosting", params, PAIR, *PAIR))
+
+
+def m25_symmetric_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two symmetric trees of depth 2 over two flags: penalised Newton steps from 0, on balanced classes."""
+    params = {"iterations": 2, "learning_rate": 0.5, "depth": 2}
+    return rounded_score(fitted_on(spark, sf_dir, "CatBoost", params, PAIR, *PAIR))
+
+
+def m23_missing_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of one split each over a flag with missing values, which go to the side of larger gain."""
+    params = {"n_estimators": 2, "learning_rate": 0.3, "max_depth": 1}
+    return rounded_score(fitted_on(spark, sf_dir, "XGBoost", params, ["known_foreign"], "known_foreign"))
+
+
+def m26_three_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three boosted stumps over two flags, with rows reweighed in between."""
+    params = {"n_estimators": 3, "learning_rate": 1.0}
+    return rounded_score(fitted_on(spark, sf_dir, "AdaBoost", params, PAIR, *PAIR))
 
 
 def m26_single_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,6 +327,10 @@ def learner_queries() -> dict[str, Query]:
         "m22_single_split": m22_single_split,
         "m26_single_stump": m26_single_stump,
         "m27_single_round": m27_single_round,
+        "m23_missing_side": m23_missing_side,
+        "m25_symmetric_trees": m25_symmetric_trees,
+        "m26_three_rounds": m26_three_rounds,
+        "m27_two_rounds": m27_two_rounds,
         "s06_round_trip": s06_round_trip,
         "x05_stream_equals_batch": x05_stream_equals_batch,
         "r01_run": r01_run,

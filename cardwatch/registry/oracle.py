@@ -646,6 +646,56 @@ def _learners() -> dict[str, str]:
     }
 
 
+def _boosted_fits() -> dict[str, str]:
+    """Boosters over two flags, or one with missing values: few cells, in which all rows have one score."""
+    pair = "foreign_transaction, location_mismatch"
+    p = "(1/(1+exp(-s)))"
+    cells = f"c AS (SELECT {pair}, count(*) AS n, sum(is_fraud) AS pos FROM train GROUP BY ALL)"
+    odds = "z AS (SELECT sum(pos)::DOUBLE AS n1, sum(n-pos)::DOUBLE AS n0 FROM c)"
+
+    def steps(rate: float, penalty: float, w0: str, w1: str, start: str) -> str:
+        gradient, hessian = f"({w1}*pos*(1-{p}) - {w0}*(n-pos)*{p})", f"(({w1}*pos + {w0}*(n-pos))*{p}*(1-{p}))"
+        step = f"s + {rate}::DOUBLE*{gradient}/({hessian}+{penalty}) AS s"
+        kept = f"{pair}, n, pos, n0, n1"
+        return f"{cells}, {odds}, r0 AS (SELECT {kept}, {start} AS s FROM c, z), r1 AS (SELECT {kept}, {step} FROM r0), r2 AS (SELECT {kept}, {step} FROM r1)"
+
+    def missing(k: int) -> str:
+        side = lambda what: "(" + " + ".join(f"sum({{0}}) FILTER ({w})" for w in what) + ")"
+        score = lambda what: f"power({side(what).format('g')}, 2)/({side(what).format('h')}+1)"
+        low, high, none = "v = 0", "v = 1", "v IS NULL"
+        return (
+            f"g{k} AS (SELECT v, n, pos, n0, n1, s, n0/n1*pos*({p}-1) + (n-pos)*{p} AS g, (n0/n1*pos + n-pos)*{p}*(1-{p}) AS h FROM r{k}), "
+            f"d{k} AS (SELECT {score([low, none])} + {score([high])} >= {score([low])} + {score([high, none])} AS with_low FROM g{k}), "
+            f"r{k + 1} AS (SELECT v, n, pos, n0, n1, s - 0.3::DOUBLE*sum(g) OVER w/(sum(h) OVER w + 1) AS s FROM g{k}, d{k} "
+            "WINDOW w AS (PARTITION BY coalesce(v, CASE WHEN with_low THEN 0 ELSE 1 END)))"
+        )
+
+    def stump(k: int) -> str:
+        flags = pair.split(", ")
+        sides = union(
+            [f"SELECT {i} AS place, {f} AS side, sum(wp) AS pos, sum(wn) AS neg FROM w{k} GROUP BY {f}" for i, f in enumerate(flags)]
+        )
+        return (
+            f"s{k} AS ({sides}), b{k} AS (SELECT place FROM s{k} GROUP BY place ORDER BY sum(2*pos*neg/(pos+neg)), place LIMIT 1), "
+            f"v{k} AS (SELECT place, side, CASE WHEN pos > neg THEN 1 ELSE -1 END AS vote, least(pos, neg) AS wrong, pos+neg AS whole "
+            f"FROM s{k} JOIN b{k} USING (place)), e{k} AS (SELECT ln((sum(whole)-sum(wrong))/sum(wrong)) AS say FROM v{k}), "
+            f"w{k + 1} AS (SELECT {pair}, wp*CASE WHEN vote < 0 THEN exp(say) ELSE 1 END AS wp, wn*CASE WHEN vote > 0 THEN exp(say) ELSE 1 END AS wn, "
+            f"d + say*vote AS d, says + say AS says FROM w{k}, v{k}, e{k} "
+            f"WHERE side = CASE WHEN place = 0 THEN {flags[0]} ELSE {flags[1]} END)"
+        )
+
+    final = f"SELECT {pair}, round({p}, 6) AS score FROM r2"
+    return {
+        "m27_two_rounds": f"WITH {TX}, {steps(0.3, 0, '1', '1', 'ln(n1/n0)')} {final}",
+        "m25_symmetric_trees": f"WITH {TX}, {steps(0.5, 3, '(n0+n1)/(2*n0)', '(n0+n1)/(2*n1)', '0::DOUBLE')} {final}",
+        "m23_missing_side": f"WITH {TX}, c AS (SELECT CASE WHEN transaction_id % 4 <> 0 THEN foreign_transaction END AS v, count(*) AS n, "
+        f"sum(is_fraud) AS pos FROM train GROUP BY ALL), {odds}, r0 AS (SELECT *, 0::DOUBLE AS s FROM c, z), {missing(0)}, {missing(1)} "
+        f"SELECT v AS known_foreign, round({p}, 6) AS score FROM r2",
+        "m26_three_rounds": f"WITH {TX}, {cells}, w0 AS (SELECT {pair}, pos::DOUBLE AS wp, (n-pos)::DOUBLE AS wn, 0::DOUBLE AS d, 0::DOUBLE AS says FROM c), "
+        f"{stump(0)}, {stump(1)}, {stump(2)} SELECT {pair}, round(1/(1+exp(-d/says)), 6) AS score FROM w3",
+    }
+
+
 def _exact_fits() -> dict[str, str]:
     weighted = (
         "count(*) FILTER (is_fraud=1)*(n/(2.0*n1)) / (count(*) FILTER (is_fraud=1)*(n/(2.0*n1)) + "
@@ -687,4 +737,4 @@ def _exact_fits() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits()
+    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits() | _boosted_fits()
