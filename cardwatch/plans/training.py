@@ -6,6 +6,7 @@ import json
 import math
 import random
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -100,10 +101,18 @@ def score(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def oof_predict(
-    learner: Learner, params: dict, folded: DataFrame, features: list[str], parallelism: int = 4
+    learner: Learner,
+    params: dict,
+    folded: DataFrame,
+    features: list[str],
+    parallelism: int = 4,
+    resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Every row scored by the fold model that did not see it; fold fits run side by side, those of a booster in the same jobs."""
-    if learner.preset is not None:
+    """Every row scored by the fold model that did not see it; fold fits run side by side, those of a booster in the same jobs.
+
+    ``resample`` may add or drop rows before a fold model is fitted; the rows that are scored stay as they are.
+    """
+    if learner.preset is not None and resample is None:
         scored = boosted_out_of_fold([(learner, params)], folded, features, [ID, LABEL, "fold"])
         value = F.col("scores")[0]
         return scored.select(ID, LABEL, "fold", value.alias("score"), (value > 0.5).cast("int").alias("prediction"))
@@ -112,6 +121,9 @@ def oof_predict(
 
     def one(fold: int) -> DataFrame:
         rest = folded.filter(F.col("fold") != fold)
+        if resample is not None:
+            model = fit_final(learner, params, settle(resample(rest)), features)
+            return score(model, folded.filter(F.col("fold") == fold), [ID, LABEL, "fold"])
         model = fit(learner, params, rest, features, n0 - counts[fold][0], n1 - counts[fold][1])
         return score(model, folded.filter(F.col("fold") == fold), [ID, LABEL, "fold"])
 

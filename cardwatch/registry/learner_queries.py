@@ -8,10 +8,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwatch.learners import rules
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import nearest_neighbors, vote
 from cardwatch.learners.zoo import BUILT_IN_BOOSTING, LEARNERS, Learner
-from cardwatch.operators import encode
+from cardwatch.operators import encode, resample
 from cardwatch.operators import evaluate as ev
 from cardwatch.operators.importance import feature_importance
 from cardwatch.plans import ensemble, training
@@ -270,6 +271,69 @@ def m26_single_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 6))
 
 
+# --- resampling, rules, other scalers -----------------------------------------------------------
+
+
+def x01_undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.undersample(raw_split(spark, sf_dir)[0], ratio=2.0).select(ID, LABEL)
+
+
+def new_rows(spark: SparkSession, sf_dir: str, by_density: bool) -> DataFrame:
+    made = resample.new_rows(raw_split(spark, sf_dir)[0], RAW_FEATURES, by_density=by_density)
+    values = [F.round(c, 6).alias(c) for c in ("gap", *RAW_FEATURES)]
+    return made.select(ID, F.col("copy").cast("int").alias("copy"), "neighbor_id", *values)
+
+
+def x02_smote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return new_rows(spark, sf_dir, by_density=False)
+
+
+def x02_adasyn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return new_rows(spark, sf_dir, by_density=True)
+
+
+def x02_smote_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-fold scores of a learner whose training rows alone are grown."""
+    learner = training.learner("LogisticRegression")
+    grow = lambda rows: resample.oversample(rows, FEATURES)
+    return rounded_score(training.oof_predict(learner, learner.defaults, table(spark, sf_dir), FEATURES, resample=grow))
+
+
+def x03_leaf_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purity of the leaves of a tree over two flags, by the flags' values."""
+    train = settle(raw_split(spark, sf_dir)[0])
+    mined = rules.paths(rules.grow_tree(train, PAIR), PAIR)
+    by_leaf = rules.purity(train, mined)
+    leaves = train.select(*PAIR, rules.leaf_of(mined).alias("leaf")).distinct()
+    return leaves.join(by_leaf, "leaf").select(*PAIR, "n", "n_pos", F.round("purity", 6).alias("purity"))
+
+
+def x03_rule_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many predictions of a score the rules over two flags change: leaves with 20 rows, a quarter of them fraud."""
+    tx = standin.transactions_table(spark, sf_dir)
+    train = settle(standin.train_rows(tx))
+    mined = rules.mine(train, PAIR, least_rows=20, least_purity=0.25)
+    scored = standin.scores(tx).join(tx.select(ID, *PAIR), ID).withColumn("before", ev.threshold_predict(F.col("score_a")))
+    return scored.groupBy("before", rules.override(F.col("before"), mined).alias("after")).agg(F.count("*").alias("n_rows"))
+
+
+def x03_pure_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the pure fraud leaves of a full tree over all engineered features, with their purity on the rows it was grown on."""
+    learn = learning_rows(spark, sf_dir)
+    return rules.purity(learn, rules.mine(learn, FEATURES, least_rows=2))
+
+
+def x04_min_max_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = raw_split(spark, sf_dir)
+    scaled = resample.min_max_scale(test, RAW_FEATURES, train)
+    return scaled.select(ID, *[F.round(c, 6).alias(c) for c in RAW_FEATURES])
+
+
+def x04_label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resample.label_encode(raw_split(spark, sf_dir)[1], "merchant_category", sorted(standin.EVENT_TYPES))
+    return rows.select(ID, "merchant_category_code")
+
+
 def s06_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Largest difference between the scores of a model and of the same model saved and loaded, for every kind of learner."""
     _, test = raw_split(spark, sf_dir)
@@ -331,6 +395,15 @@ def learner_queries() -> dict[str, Query]:
         "m25_symmetric_trees": m25_symmetric_trees,
         "m26_three_rounds": m26_three_rounds,
         "m27_two_rounds": m27_two_rounds,
+        "x01_undersample": x01_undersample,
+        "x02_smote": x02_smote,
+        "x02_adasyn": x02_adasyn,
+        "x02_smote_oof": x02_smote_oof,
+        "x03_leaf_purity": x03_leaf_purity,
+        "x03_rule_override": x03_rule_override,
+        "x03_pure_rules": x03_pure_rules,
+        "x04_min_max_scale": x04_min_max_scale,
+        "x04_label_encode": x04_label_encode,
         "s06_round_trip": s06_round_trip,
         "x05_stream_equals_batch": x05_stream_equals_batch,
         "r01_run": r01_run,

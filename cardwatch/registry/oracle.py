@@ -736,5 +736,59 @@ def _exact_fits() -> dict[str, str]:
     }
 
 
+def _resampling() -> dict[str, str]:
+    """Undersampling, SMOTE, ADASYN, rules over two flags, other scalers."""
+    d2 = " + ".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in RAW_FEATURES)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in RAW_FEATURES)
+    z = ", ".join(f"CASE WHEN s_{c} = 0 THEN {c}-m_{c} ELSE ({c}-m_{c})/s_{c} END AS {c}" for c in RAW_FEATURES)
+    bits = lambda what: f"('0x' || substr(md5('42:{what}:' || transaction_id::VARCHAR || ':' || copy::VARCHAR), 1, 8))::BIGINT"
+    order = "md5(concat('42:', CAST(transaction_id AS VARCHAR))), transaction_id"
+    near = lambda name, those: (
+        f"{name} AS (SELECT * FROM (SELECT a.transaction_id, b.transaction_id AS neighbor_id, b.is_fraud, row_number() OVER "
+        f"(PARTITION BY a.transaction_id ORDER BY round({d2}, 9), b.transaction_id) AS rank FROM z a, z b "
+        f"WHERE a.is_fraud = 1 AND a.transaction_id <> b.transaction_id AND {those}) WHERE rank <= 5)"
+    )
+    between = ", ".join(f"round(a.{c} + gap*(b.{c}-a.{c}), 6)::DOUBLE AS {c}" for c in RAW_FEATURES)
+    base = (
+        f"{TX}, m AS (SELECT {stats} FROM train), z AS (SELECT transaction_id, is_fraud, {z} FROM train, m), "
+        f"{near('few', 'b.is_fraud = 1')}, s AS (SELECT transaction_id, count(*) AS n_near FROM few GROUP BY 1), "
+        "c AS (SELECT count(*) FILTER (is_fraud=1) AS n1, count(*) FILTER (is_fraud=0) AS n0 FROM train)"
+    )
+    made = (
+        "d AS (SELECT transaction_id, unnest(range(1, copies + 1))::INTEGER AS copy FROM k), "
+        f"p AS (SELECT transaction_id, copy, {bits('neighbour')} % n_near + 1 AS rank, {bits('gap')} / 4294967296::DOUBLE AS gap FROM d JOIN s USING (transaction_id)) "
+        f"SELECT p.transaction_id, copy, neighbor_id, round(gap, 6) AS gap, {between} FROM p JOIN few USING (transaction_id, rank) "
+        "JOIN train a ON a.transaction_id = p.transaction_id JOIN train b ON b.transaction_id = neighbor_id"
+    )
+    even = (
+        f"k AS (SELECT transaction_id, (n0-n1)//n1 + CASE WHEN row_number() OVER (ORDER BY {order}) <= (n0-n1)%n1 THEN 1 ELSE 0 END AS copies "
+        "FROM train, c WHERE is_fraud=1)"
+    )
+    dense = (
+        f"{near('around', 'true')}, r AS (SELECT transaction_id, avg(1-is_fraud) AS share FROM around GROUP BY 1), "
+        "k AS (SELECT transaction_id, round(share / (SELECT sum(share) FROM r) * (n0-n1))::BIGINT AS copies FROM r, c)"
+    )
+    pair = "foreign_transaction, location_mismatch"
+    leaves = f"leaves AS (SELECT {pair}, count(*) AS n, count(*) FILTER (is_fraud=1) AS n_pos FROM train GROUP BY ALL)"
+    before = "CASE WHEN score_a >= 0.5 THEN 1 ELSE 0 END"
+    scaled = ", ".join(
+        f"round(CASE WHEN h_{c} > l_{c} THEN ({c}-l_{c})::DOUBLE/(h_{c}-l_{c}) ELSE 0 END, 6)::DOUBLE AS {c}" for c in RAW_FEATURES
+    )
+    ends = ", ".join(f"min({c}) AS l_{c}, max({c}) AS h_{c}" for c in RAW_FEATURES)
+    return {
+        "x01_undersample": f"WITH {TX}, r AS (SELECT transaction_id, is_fraud, row_number() OVER (PARTITION BY is_fraud ORDER BY {order}) AS place FROM train) "
+        "SELECT transaction_id, is_fraud FROM r WHERE is_fraud=1 OR place <= 2*(SELECT count(*) FROM train WHERE is_fraud=1)",
+        "x02_smote": f"WITH {base}, {even}, {made}",
+        "x02_adasyn": f"WITH {base}, {dense}, {made}",
+        "x03_leaf_purity": f"WITH {TX}, {leaves} SELECT {pair}, n, n_pos, round(n_pos/n, 6) AS purity FROM leaves",
+        "x03_rule_override": f"WITH {SC}, {leaves}, o AS (SELECT {before} AS before, coalesce(n >= 20 AND n_pos >= 0.25*n, false) AS hit "
+        f"FROM sc JOIN tx USING (transaction_id) LEFT JOIN leaves USING ({pair})) "
+        "SELECT before, CASE WHEN hit THEN 1 ELSE before END AS after, count(*) AS n_rows FROM o GROUP BY ALL",
+        "x04_min_max_scale": f"WITH {TX}, e AS (SELECT {ends} FROM train) SELECT transaction_id, {scaled} FROM tx, e WHERE split='test'",
+        "x04_label_encode": f"WITH {TX} SELECT transaction_id, (list_position([{', '.join(repr(e) for e in sorted(EVENT_TYPES))}], merchant_category)-1)::INTEGER "
+        "AS merchant_category_code FROM tx WHERE split='test'",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits() | _boosted_fits()
+    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits() | _boosted_fits() | _resampling()
