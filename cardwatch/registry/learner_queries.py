@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +112,23 @@ def m15_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_importance(spark, models, FEATURES)
 
 
+def f15_population_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows as the scaler inside the fits sees them, one row per position."""
+    train, test = raw_split(spark, sf_dir)
+    known = training.feature_matrix(train, RAW_FEATURES)
+    stages = training.population_scaler("features", "scaled", known.count(), len(RAW_FEATURES))
+    return by_position(Pipeline(stages=stages).fit(known).transform(training.feature_matrix(test, RAW_FEATURES)), "scaled")
+
+
+def f16_matrix_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position of the model inputs of the train rows."""
+    return by_position(training.feature_matrix(engineered(raw_split(spark, sf_dir)[0]), FEATURES), "features")
+
+
+def by_position(rows: DataFrame, vector: str) -> DataFrame:
+    return rows.select(ID, F.posexplode(vector_to_array(vector)).alias("position", "value")).withColumn("value", F.round("value", 6))
+
+
 def scaled_vectors(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Train and test with these columns z-scored by the train statistics."""
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
@@ -375,6 +394,8 @@ def learner_queries() -> dict[str, Query]:
     return {
         "s06_save_load_model": s06_save_load_model,
         "m04_cross_validate": m04_cross_validate,
+        "f15_population_scaler": f15_population_scaler,
+        "f16_matrix_positions": f16_matrix_positions,
         "m05_oof_predict": oof_of("RandomForest"),
         "m06_tune": m06_tune,
         "m07_fit_final": m07_fit_final,

@@ -736,6 +736,24 @@ def _exact_fits() -> dict[str, str]:
     }
 
 
+def _inputs() -> dict[str, str]:
+    """Model inputs by position."""
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in RAW_FEATURES)
+    scaled = union(
+        [
+            f"SELECT transaction_id, {k} AS position, round(CASE WHEN s_{c} = 0 THEN 0 ELSE ({c}-m_{c})/s_{c} END, 6)::DOUBLE AS value FROM tx, m WHERE split='test'"
+            for k, c in enumerate(RAW_FEATURES)
+        ]
+    )
+    plain = union(
+        [f"SELECT transaction_id, {k} AS position, round({c}, 6)::DOUBLE AS value FROM enc WHERE split='train'" for k, c in enumerate(FEATURES)]
+    )
+    return {
+        "f15_population_scaler": f"WITH {TX}, m AS (SELECT {stats} FROM train) {scaled}",
+        "f16_matrix_positions": f"WITH {FE} {plain}",
+    }
+
+
 def _resampling() -> dict[str, str]:
     """Undersampling, SMOTE, ADASYN, rules over two flags, other scalers."""
     d2 = " + ".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in RAW_FEATURES)
@@ -791,4 +809,4 @@ def _resampling() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits() | _boosted_fits() | _resampling()
+    return _quality() | _profile() | _features() | _evaluate() | _models() | _learners() | _exact_fits() | _boosted_fits() | _inputs() | _resampling()

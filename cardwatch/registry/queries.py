@@ -174,16 +174,14 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def importances_by_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Absolute correlation of each raw feature with each score, as that score's importances."""
-    wide = tx(spark, sf_dir)
-    scored = wide.join(standin.scores(wide).drop(SPLIT, LABEL), ID).filter(F.col(SPLIT) == "train")
-    per_model = [
-        profile.correlation_with(scored, RAW_FEATURES, m).select(
-            F.lit(m).alias("model"), "feature", F.abs("correlation").alias("importance")
-        )
+    """Absolute correlation of each raw feature with each score, as that score's importances: one scan, one aggregate."""
+    wide = standin.with_scores(train(spark, sf_dir))
+    pairs = [
+        F.struct(F.lit(m).alias("model"), F.lit(c).alias("feature"), F.abs(profile.correlation(F.col(c), F.col(m))).alias("importance"))
         for m in SCORES
+        for c in RAW_FEATURES
     ]
-    return reduce(DataFrame.unionByName, per_model)
+    return wide.agg(F.array(*pairs).alias("rows")).select(F.inline("rows"))
 
 
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

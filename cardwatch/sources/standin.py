@@ -116,8 +116,8 @@ def test_rows(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col(SPLIT) == "test").drop(SPLIT, LABEL)
 
 
-def scores(tx: DataFrame) -> DataFrame:
-    """Three deterministic score columns over the transactions, each a number of points out of 20."""
+def with_scores(tx: DataFrame) -> DataFrame:
+    """Three deterministic score columns next to the transactions, each a number of points out of 20."""
     located = "(foreign_transaction + location_mismatch)"
     low_trust = "CAST(device_trust_score < 40 AS INT)"
     night = "CAST(transaction_hour <= 5 AS INT)"
@@ -126,6 +126,9 @@ def scores(tx: DataFrame) -> DataFrame:
         "b": f"6*{located} + 4*{low_trust} + 2*{night} + CAST(velocity_last_24h >= 5 AS INT) + CAST(amount > 300 AS INT)",
         "c": f"4*{located} + 3*{low_trust} + 5*{night} + 2*CAST(velocity_last_24h >= 3 AS INT) + 2*CAST(amount > 200 AS INT)",
     }
-    return tx.selectExpr(
-        "transaction_id", SPLIT, LABEL, *[f"CAST({p} AS DOUBLE) / 20D AS score_{n}" for n, p in points.items()]
-    )
+    return tx.selectExpr("*", *[f"CAST({p} AS DOUBLE) / 20D AS score_{n}" for n, p in points.items()])
+
+
+def scores(tx: DataFrame) -> DataFrame:
+    """The scores alone, by id, split and label."""
+    return with_scores(tx).select("transaction_id", SPLIT, LABEL, "score_a", "score_b", "score_c")
