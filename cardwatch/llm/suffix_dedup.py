@@ -6,8 +6,9 @@ start at anchors are the sample. Batches of them, sorted by fingerprint, stream
 fingerprints, where each is merge-scanned against the levels that are there:
 
 * two stretches that are alike throughout are repeated as a whole,
-* where anchors agree and stretches do not, a repeat begins or ends; these stretches' windows go through a second index of
-  the same kind, one suffix per window, which finds the exact byte.
+* where anchors agree and stretches do not, a repeat begins or ends somewhere. These stretches' windows take longer anchors, almost as
+  long as a window, and go through a second index: nearly all of them find no partner there and are clear. What is still unclear
+  goes through a third one, one suffix per window, which finds the exact byte.
 
 Before anything is shuffled, each chunk settles what it can by itself and sends one entry per fingerprint, so that a passage
 in a third of all documents reaches a bucket once per chunk and not once per document.
@@ -16,7 +17,7 @@ in a third of all documents reaches a bucket once per chunk and not once per doc
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from cardwatch.llm.spans import PAD, Chunk, chunks, mix, ranges
 
 LENGTH = 200
 GRAM = 64
+#: A longer anchor is this much shorter than a window.
+_SLACK = 16
 #: Bits that order equal anchor hashes in a window by place, the first one first.
 _PLACE = 28
 _CHUNK = 1 << 20
@@ -87,28 +90,35 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def stretches(chunk: Chunk, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: (text, first window in it, windows, fingerprint of the anchor, of the whole run)."""
+def all_windows(chunk: Chunk, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of a chunk as runs: (text, first window, windows)."""
+    return np.arange(chunk.rows), np.zeros(chunk.rows, np.int64), np.maximum(np.diff(chunk.offsets) - length + 1, 0)
+
+
+def stretches(
+    chunk: Chunk, length: int, gram: int, runs: tuple[np.ndarray, np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of ``runs`` (text, first window, windows), in order, cut where the anchor changes: (text, first window in it, windows,
+    fingerprint of the anchor, of the whole stretch)."""
     none = np.zeros(0, np.int64)
-    if chunk.size < length:
+    text, at, count = runs
+    if chunk.size < length or not count.sum():
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     prefixes = Prefixes(chunk)
     hashes = prefixes.grams(gram)
     place = np.arange(len(hashes), dtype=np.uint64) & np.uint64((1 << _PLACE) - 1)
     ordered = (hashes & ~np.uint64((1 << _PLACE) - 1)) | place
     least = sliding_least(ordered, length - gram + 1)
-    windows = np.maximum(np.diff(chunk.offsets) - length + 1, 0)
-    at = ranges(chunk.offsets[:-1], windows)
-    text = np.repeat(np.arange(chunk.rows), windows)
+    at, text = ranges(chunk.offsets[text] + at, count), np.repeat(text, count)
     low = (least[at] & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
     anchor = at + ((low - at) & ((1 << _PLACE) - 1))
     new = np.ones(len(at), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(at)))
     start, anchor, text = at[first], anchor[first], text[first]
     body = prefixes.of(start, count + length - 1)
-    # Runs are alike only if their anchors stand at the same place in them.
+    # Stretches are alike only if their anchors stand at the same place in them.
     body = mix(body + (anchor - start).astype(np.uint64))
     return text, start - chunk.offsets[text], count, hashes[anchor], body
 
@@ -191,49 +201,57 @@ def _exchange(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.repartition(buckets, "bucket").mapInArrow(_through_index, "kind int, uid long, at long, count long")
 
 
+def _runs_of(chunk: Chunk, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A column of runs of windows, touching ones joined: (text, first window, windows)."""
+    own = runs.slice(chunk.first, chunk.rows)
+    text = np.repeat(np.arange(chunk.rows), pc.list_value_length(own).to_numpy())
+    flat = own.flatten()
+    return _joined(text, *(flat.field(k).to_numpy() for k in range(2)))
+
+
 def repeated_windows(texts: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(uid, at, count): ``count`` windows of ``length`` bytes, from byte ``at`` on, that also start elsewhere.
 
-    ``texts`` (uid, text) is read twice, so its uids must be stored. Rows may overlap each other, but none is missing.
+    ``texts`` (uid, text) is read several times, so its uids must be stored. Rows may overlap each other, but none is missing.
     """
     buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = texts.select("uid", "text")
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids = batch.column(0).to_numpy()
             for chunk in chunks(batch.column(1), _CHUNK):
-                text, at, count, key, body = stretches(chunk, length, gram)
+                runs = _runs_of(chunk, batch.column(2)) if batch.num_columns > 2 else all_windows(chunk, length)
+                text, at, count, key, body = stretches(chunk, length, gram, runs)
                 own = Entries(key, body, uids[chunk.first + text], at, count, np.zeros(len(key), np.int8))
                 sent, like, unlike = _settled(own)
                 yield _rows([*_blocks(sent, ENTRIES, buckets), *_blocks(like, REPEATED, buckets), *_blocks(unlike, UNCLEAR, buckets)])
 
-    found = write_once(_exchange(texts.mapInArrow(anchors, _BLOCK), buckets), "stretches")
-
-    listed = F.collect_list(F.struct("at", "count")).alias("runs")
-    unclear = found.filter(F.col("kind") == UNCLEAR).groupBy("uid").agg(listed)
-
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            uids, runs = batch.column(0).to_numpy(), batch.column(2)
+            uids = batch.column(0).to_numpy()
             for chunk in chunks(batch.column(1), _CHUNK):
-                own = runs.slice(chunk.first, chunk.rows)
-                text = np.repeat(np.arange(chunk.rows), pc.list_value_length(own).to_numpy())
-                flat = own.flatten()
-                at, count = (flat.field(k).to_numpy() for k in range(2))
-                text, at, count = _joined(text, at, count)
-                place = ranges(at, count)
-                text = np.repeat(text, count)
+                text, at, count = _runs_of(chunk, batch.column(2))
+                place, text = ranges(at, count), np.repeat(text, count)
                 key = Prefixes(chunk).of(place + chunk.offsets[text], length)
                 none = np.zeros(len(key), np.uint64)
                 made = Entries(key, none, uids[chunk.first + text], place, np.ones(len(key), np.int64), none.astype(np.int8))
                 sent, like, _ = _settled(made)
                 yield _rows([*_blocks(sent, ENTRIES, buckets), *_blocks(like, REPEATED, buckets)])
 
-    blocks = texts.join(unclear, "uid").select("uid", "text", "runs").mapInArrow(windows, _BLOCK)
-    exact = write_once(_exchange(blocks, buckets), "windows")
-    whole = found.filter(F.col("kind") == REPEATED)
-    return whole.unionByName(exact.filter(F.col("kind") == REPEATED)).drop("kind")
+    def unclear(found: DataFrame, of: DataFrame) -> DataFrame:
+        """Texts with their unclear runs. Written first, so that Spark knows its size when it plans the join."""
+        listed = F.collect_list(F.struct("at", "count")).alias("runs")
+        runs = write_once(found.filter(F.col("kind") == UNCLEAR).groupBy("uid").agg(listed), "unclear", "zstd")
+        return of.join(runs, "uid").select("uid", "text", "runs")
+
+    longer = max(gram, length - _SLACK)
+    levels = [write_once(_exchange(texts.mapInArrow(lambda b: anchors(b, gram), _BLOCK), buckets), "stretches", "zstd")]
+    again = unclear(levels[0], texts).mapInArrow(lambda b: anchors(b, longer), _BLOCK)
+    levels.append(write_once(_exchange(again, buckets), "long-stretches", "zstd"))
+    exact = unclear(levels[1], texts).mapInArrow(windows, _BLOCK)
+    levels.append(write_once(_exchange(exact, buckets), "windows", "zstd"))
+    return reduce(DataFrame.unionByName, [found.filter(F.col("kind") == REPEATED).drop("kind") for found in levels])
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
