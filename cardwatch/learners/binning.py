@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 #: Bin of a missing value; the others count from 1.
 MISSING = 0
 #: Rows of one block, about.
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 17
 
 
 def cut_points(rows: DataFrame, vector: str, most: int) -> list[list[float]]:
