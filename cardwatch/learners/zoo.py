@@ -9,13 +9,13 @@ from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 
+from cardwatch.learners import extra_trees, perceptron
 from cardwatch.learners.adaboost import AdaBoostStumps
 from cardwatch.learners.boosting import HistogramBooster, class_weighted
-from cardwatch.learners.calibrated_svc import CalibratedLinearSVC
+from cardwatch.learners.calibrated_svc import CalibratedSVC
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import NearestNeighbors
 from cardwatch.schema import LABEL
@@ -30,6 +30,7 @@ class Setting:
     n_features: int
     weight_sum: float
     features: str
+    class_weights: tuple[float, float] = (1.0, 1.0)
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,8 @@ class Learner:
     defaults: dict
     #: Growth of a booster, whose folds and trials are fitted side by side.
     preset: str | None = None
+    #: Scores all rows by models of all folds that are fitted in the same jobs: (params, rows, features, label, keep, class weights by fold).
+    folds_at_once: Callable | None = None
 
 
 def _logistic(p: dict, s: Setting) -> Estimator:
@@ -71,16 +74,12 @@ def _forest(p: dict, s: Setting) -> Estimator:
 
 
 def _extra_trees(p: dict, s: Setting) -> Estimator:
-    # Whole sample per tree and coarse bins: the nearest built-in form of very random trees.
-    return RandomForestClassifier(
+    return extra_trees.ExtremelyRandomTrees(
         featuresCol=s.features,
         labelCol=LABEL,
-        weightCol="weight",
-        numTrees=p["n_estimators"],
+        trees=p["n_estimators"],
         maxDepth=p["max_depth"],
-        featureSubsetStrategy="sqrt",
-        bootstrap=False,
-        maxBins=8,
+        classWeights=s.class_weights,
         seed=SEED,
     )
 
@@ -108,16 +107,21 @@ def _adaboost(p: dict, s: Setting) -> Estimator:
 
 
 def _svc(p: dict, s: Setting) -> Estimator:
-    return CalibratedLinearSVC(
+    return CalibratedSVC(
         featuresCol=s.features,
         labelCol=LABEL,
         weightCol="weight",
         regParam=1.0 / (p["C"] * s.weight_sum),
         maxIter=p.get("max_iter", 100),
         folds=p.get("folds", 5),
+        waves=p.get("waves", KERNEL_WAVES) if p.get("kernel", "rbf") == "rbf" else 0,
+        seed=SEED,
     )
 
 
+#: Cosines that stand for the radial kernel, unless ``waves`` says otherwise.
+KERNEL_WAVES = 256
+
 #: The neighbour vote keeps at most this many labelled rows, unless ``max_train_rows`` says otherwise (0: all, by exact join).
 NEIGHBOUR_ROWS = 20_000
 
@@ -137,12 +141,14 @@ def _naive_bayes(p: dict, s: Setting) -> Estimator:
 
 
 def _perceptron(p: dict, s: Setting) -> Estimator:
-    # The built-in perceptron has neither an L2 term nor weights; alpha is accepted and has no effect.
-    return MultilayerPerceptronClassifier(
+    net = perceptron.net_of(p)
+    return perceptron.PenalisedPerceptron(
         featuresCol=s.features,
         labelCol=LABEL,
-        layers=[s.n_features, *p["hidden_layer_sizes"], 2],
-        maxIter=p.get("max_iter", 500),
+        layers=list(net.hidden),
+        alpha=net.alpha,
+        stepSize=net.rate,
+        maxIter=net.steps,
         seed=SEED,
     )
 
@@ -164,7 +170,10 @@ _ALL = [
         {"C": ("log", 1e-4, 10.0)}, {"C": ("log", 1e-4, 10.0)}, {"C": 1.0},
     ),
     Learner("RandomForest", _forest, "balanced", False, _FOREST_SCRIPT, _FOREST_WIDE, {"n_estimators": 100, "max_depth": 9}),
-    Learner("ExtraTrees", _extra_trees, "balanced", False, _FOREST_WIDE, _FOREST_WIDE, {"n_estimators": 100, "max_depth": 11}),
+    Learner(
+        "ExtraTrees", _extra_trees, "balanced", False, _FOREST_WIDE, _FOREST_WIDE, {"n_estimators": 100, "max_depth": 11},
+        folds_at_once=extra_trees.out_of_fold,
+    ),
     Learner(
         "XGBoost", _boosted("xgboost"), "positives", False, _BOOST_SCRIPT, _BOOST_NOTEBOOK,
         {"learning_rate": 0.15, "max_depth": 5}, "xgboost",
@@ -197,7 +206,7 @@ _ALL = [
     ),
     Learner(
         "SVC", _svc, "balanced", True,
-        {"C": ("log", 0.1, 10.0)}, {"C": ("log", 1e-2, 10.0), "kernel": ("choice", ["linear"])}, {"C": 1.0},
+        {"C": ("log", 0.1, 10.0)}, {"C": ("log", 1e-2, 10.0), "kernel": ("choice", ["linear", "rbf"])}, {"C": 1.0},
     ),
     Learner("KNN", _knn, None, True, _KNN, _KNN, {"n_neighbors": 5, "weights": "distance"}),
     Learner(
@@ -213,6 +222,7 @@ _ALL = [
             "learning_rate_init": ("log", 1e-4, 1e-1),
         },
         {"hidden_layer_sizes": [50, 50], "alpha": 0.08},
+        folds_at_once=perceptron.out_of_fold,
     ),
 ]
 
@@ -240,7 +250,8 @@ BUILT_IN_BOOSTING = Learner(
 
 def notebook_variant(learner: Learner) -> Learner:
     """The same learner with the notebook's search space and without scaling; its perceptron stops after 200 iterations."""
-    build = learner.build
+    build, folds_at_once = learner.build, learner.folds_at_once
     if learner.name == "MLPClassifier":
         build = lambda p, s: learner.build({"max_iter": 200} | p, s)
-    return replace(learner, build=build, scaled=False, script_space=learner.notebook_space)
+        folds_at_once = lambda p, *rest: perceptron.out_of_fold({"max_iter": 200} | p, *rest, scaled=False)
+    return replace(learner, build=build, scaled=False, script_space=learner.notebook_space, folds_at_once=folds_at_once)

@@ -71,7 +71,7 @@ def fit(learner: Learner, params: dict, train: DataFrame, features: list[str], n
     if learner.scaled:
         column = "scaled_features"
         stages += population_scaler("features", column, n0 + n1, len(features))
-    setting = Setting(len(features), n0 * by_class[0] + n1 * by_class[1], column)
+    setting = Setting(len(features), n0 * by_class[0] + n1 * by_class[1], column, by_class)
     stages.append(learner.build(params, setting))
     weighted = train.withColumn("weight", F.when(F.col(LABEL) == 1, by_class[1]).otherwise(by_class[0]))
     return Pipeline(stages=stages).fit(weighted)
@@ -108,7 +108,7 @@ def oof_predict(
     parallelism: int = 4,
     resample: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Every row scored by the fold model that did not see it; fold fits run side by side, those of a booster in the same jobs.
+    """Every row scored by the fold model that did not see it; fold fits run side by side, those of boosters, random trees and perceptrons in the same jobs.
 
     ``resample`` may add or drop rows before a fold model is fitted; the rows that are scored stay as they are.
     """
@@ -118,6 +118,10 @@ def oof_predict(
         return scored.select(ID, LABEL, "fold", value.alias("score"), (value > 0.5).cast("int").alias("prediction"))
     counts = class_counts(folded)
     n0, n1 = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    if learner.folds_at_once is not None and resample is None:
+        by_class = {f: class_weights(learner, n0 - own[0], n1 - own[1]) for f, own in counts.items()}
+        scored = learner.folds_at_once(params, feature_matrix(folded, features), "features", LABEL, [ID, LABEL, "fold"], by_class)
+        return scored.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
 
     def one(fold: int) -> DataFrame:
         rest = folded.filter(F.col("fold") != fold)
