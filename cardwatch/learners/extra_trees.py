@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -185,9 +185,9 @@ def _wider(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
     return [np.minimum(a[0], b[0]), np.maximum(a[1], b[1])]
 
 
-def _ranges(blocks: list[Block], growing: dict[int, tuple[Plan, int, RandomTree]], size: int, width: int) -> Iterator[tuple]:
+def _ranges(blocks: list[Block], own_key: Callable[[int], bool], growing: dict[int, tuple[Plan, int, RandomTree]], size: int, width: int) -> Iterator[tuple]:
     """(tree, part, smallest and largest value by open node and feature)."""
-    for m, (plan, _, tree) in growing.items():
+    for m, (plan, _, tree) in ((m, g) for m, g in growing.items() if own_key(m)):
         low, high = np.full((len(tree.open), width), np.inf), np.full((len(tree.open), width), -np.inf)
         for block in blocks:
             x, _, slot = _in_open_nodes(block, plan, tree)
@@ -201,10 +201,10 @@ def _ranges(blocks: list[Block], growing: dict[int, tuple[Plan, int, RandomTree]
 
 
 def _below(
-    blocks: list[Block], growing: dict[int, tuple[Plan, int, RandomTree]], size: int, looks: dict[int, tuple]
+    blocks: list[Block], own_key: Callable[[int], bool], growing: dict[int, tuple[Plan, int, RandomTree]], size: int, looks: dict[int, tuple]
 ) -> Iterator[tuple]:
     """(tree, part, rows at or below each look's point by open node and class)."""
-    for m, (plan, _, tree) in growing.items():
+    for m, (plan, _, tree) in ((m, g) for m, g in growing.items() if own_key(m)):
         seen, point = looks[m]
         total = np.zeros((len(tree.open), seen.shape[1], 2), np.int64)
         for block in blocks:
@@ -234,9 +234,9 @@ def _grow_level(blocks: Blocks, growing: dict[int, tuple[Plan, int, RandomTree]]
         seen, point = drawn(*plans[m], nodes, *[a.reshape(len(nodes), width) for a in arrays])
         return [seen.ravel(), point.ravel()]
 
-    found = blocks.summed(lambda held: _ranges(held, growing, size, width), _wider, look)
+    found = blocks.summed(lambda held, own: _ranges(held, own, growing, size, width), _wider, look)
     looks = {m: tuple(a.reshape(len(nodes), -1) for a in _joined(found, m, len(nodes), size)) for m, nodes in opened.items()}
-    counted = blocks.summed(lambda held: _below(held, growing, size, looks), lambda a, b: [a[0] + b[0]])
+    counted = blocks.summed(lambda held, own: _below(held, own, growing, size, looks), lambda a, b: [a[0] + b[0]])
     for m, (plan, _, tree) in growing.items():
         seen, point = looks[m]
         below = _joined(counted, m, len(tree.open), size)[0].reshape(*seen.shape, 2)

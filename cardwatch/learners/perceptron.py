@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -153,8 +153,8 @@ class Descent:
         self.layers = self.layers.replaced(flat - rate * self.means[0] / (np.sqrt(self.means[1]) + TINY))
 
 
-def _gradients(blocks: list[Block], growing: dict[int, tuple[Net, Layers]]) -> Iterator[tuple]:
-    for m, (net, layers) in growing.items():
+def _gradients(blocks: list[Block], own_key: Callable[[int], bool], growing: dict[int, tuple[Net, Layers]]) -> Iterator[tuple]:
+    for m, (net, layers) in ((m, g) for m, g in growing.items() if own_key(m)):
         total, loss = 0.0, 0.0
         for block in blocks:
             own = block.rows_without(net.held_out)
@@ -175,7 +175,7 @@ def descend_side_by_side(rows: DataFrame, nets: list[Net], scales: list[tuple[np
             found.append(Descent(net, begun(net, blocks.width, *(scales[m] if scales else plain)), n_rows))
         while growing := {m: (d.net, d.layers) for m, d in enumerate(found) if not d.done}:
             add = lambda a, b: [p + q for p, q in zip(a, b)]
-            for (m, _), (summed, loss) in blocks.summed(lambda held, g=growing: _gradients(held, g), add).items():
+            for (m, _), (summed, loss) in blocks.summed(lambda held, own, g=growing: _gradients(held, own, g), add).items():
                 found[m].step(summed, float(loss[0]))
     return found
 

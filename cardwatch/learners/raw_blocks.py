@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from cardwatch.learners.binning import matrix
@@ -48,8 +49,8 @@ class Blocks:
         """(negatives, positives) outside a fold."""
         return tuple(sum(n for (fold, y), n in self.counts.items() if y == c and fold != held_out) for c in (0, 1))
 
-    def summed(self, count: Callable[[list[Block]], Iterator[tuple]], merge: Callable, end: Callable | None = None) -> dict[tuple, list[np.ndarray]]:
-        """``count`` makes (key, part, arrays) of the blocks of one task; ``merge`` adds two lists of arrays of one (key, part).
+    def summed(self, count: Callable[[list[Block], Callable[[int], bool]], Iterator[tuple]], merge: Callable, end: Callable | None = None) -> dict[tuple, list[np.ndarray]]:
+        """``count`` makes (key, part, arrays) of the blocks of one task, of the keys it is told to; ``merge`` adds two lists of arrays of one (key, part).
 
         ``end`` shortens what is merged, given (key, part, arrays), before it is sent to the driver.
         """
@@ -63,9 +64,13 @@ class Blocks:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "part", "arrays", "types"])
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks = [_unpacked(row, width) for batch in batches for row in batch.to_pylist()]
-            if blocks:
-                yield rows_of({(key, part): arrays for key, part, arrays in count(blocks)})
+            shared: dict[tuple[int, int], list[Block]] = {}
+            for batch in batches:
+                for row in batch.to_pylist():
+                    shared.setdefault((row["share"], row["shares"]), []).append(_unpacked(row, width))
+            for (share, shares), blocks in shared.items():
+                own = lambda key, share=share, shares=shares: key % shares == share
+                yield rows_of({(key, part): arrays for key, part, arrays in count(blocks, own)})
 
         def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[tuple, list[np.ndarray]] = {}
@@ -99,7 +104,10 @@ def _unpacked(row: dict, width: int) -> Block:
 
 @contextmanager
 def packed(rows: DataFrame) -> Iterator[Blocks]:
-    """Blocks of ``rows`` (x array of one length without missing values, y boolean, fold int), deleted at the end."""
+    """Blocks of ``rows`` (x array of one length without missing values, y boolean, fold int), deleted at the end.
+
+    If there are fewer blocks than cores, each is there several times, for another share of the keys each.
+    """
     found = {(r["fold"], int(r["y"])): r["count"] for r in rows.groupBy("fold", "y").count().collect()}
     n_rows = sum(found.values())
     if not n_rows:
@@ -119,11 +127,17 @@ def packed(rows: DataFrame) -> Iterator[Blocks]:
     spark, path = rows.sparkSession.newSession(), scratch_path(rows.sparkSession, "values")
     # Many small jobs over one table: there is nothing to plan anew while they run.
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    dealt = rows.select("x", "y", "fold").repartition(max(1, -(-n_rows // BLOCK_ROWS)))
+    n_parts = max(1, -(-n_rows // BLOCK_ROWS))
+    dealt = rows.select("x", "y", "fold").repartition(n_parts)
     made = dealt.mapInArrow(pack, "x binary, y binary, fold binary")
+    shares = max(1, spark.sparkContext.defaultParallelism // n_parts)
     try:
         made.write.parquet(path)
-        stored = spark.read.schema(made.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+        stored = spark.read.schema(made.schema).parquet(path)
+        stored = stored.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).withColumn("shares", F.lit(shares))
+        if shares > 1:
+            stored = stored.repartition(n_parts * shares, "share")
+        stored = stored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield Blocks(stored, width, found, stored.rdd.getNumPartitions())
         finally:
