@@ -19,8 +19,6 @@ from cardwatch.session import discard, scratch_path
 BLOCK_ROWS = 1 << 14
 #: With more partitions than this, tasks' results are merged by other tasks before they reach the driver.
 MERGED_BY_DRIVER = 8
-#: Fold of no row.
-NO_FOLD = np.iinfo(np.int32).min
 
 
 @dataclass
@@ -49,8 +47,11 @@ class Blocks:
         """(negatives, positives) outside a fold."""
         return tuple(sum(n for (fold, y), n in self.counts.items() if y == c and fold != held_out) for c in (0, 1))
 
-    def summed(self, count: Callable[[list[Block], Callable[[int], bool]], Iterator[tuple]], merge: Callable, end: Callable | None = None) -> dict[tuple, list[np.ndarray]]:
-        """``count`` makes (key, part, arrays) of the blocks of one task, of the keys it is told to; ``merge`` adds two lists of arrays of one (key, part).
+    def summed(
+        self, count: Callable[[list[Block], Callable[[int], bool]], Iterator[tuple]], merge: Callable, end: Callable | None = None
+    ) -> dict[tuple, list[np.ndarray]]:
+        """``count`` makes (key, part, arrays) of the blocks of one task, for the keys it is told to; ``merge`` joins the arrays of
+        two with the same (key, part).
 
         ``end`` shortens what is merged, given (key, part, arrays), before it is sent to the driver.
         """

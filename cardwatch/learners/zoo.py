@@ -114,7 +114,7 @@ def _svc(p: dict, s: Setting) -> Estimator:
         regParam=1.0 / (p["C"] * s.weight_sum),
         maxIter=p.get("max_iter", 100),
         folds=p.get("folds", 5),
-        waves=p.get("waves", KERNEL_WAVES) if p.get("kernel", "rbf") == "rbf" else 0,
+        waves=p.get("waves", KERNEL_WAVES) if p.get("kernel", "linear") == "rbf" else 0,
         seed=SEED,
     )
 
