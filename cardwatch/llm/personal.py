@@ -151,6 +151,9 @@ class _Parsers:
             self.done["iban"] = run.end()
 
     def _announced(self, kind: str, pattern: re.Pattern, end: int) -> None:
+        # A cue well inside the last value could only announce a part of it; reading on from each would cost a square.
+        if end + 1 < self.done[kind]:
+            return
         if (value := pattern.match(self.text, end)) and value.start(1) >= self.done[kind]:
             self.add(kind, *value.span(1))
             self.done[kind] = value.end(1)

@@ -39,6 +39,7 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[of_kind(kind).alias(f"n_{kind}") for kind in personal.BASE_KINDS],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("personal")).alias("spans"),
+        F.size("personal").cast("long").alias("n_spans"),
     )
 
 

@@ -69,6 +69,13 @@ def test_clean_text_stays():
     assert personal.find_spans(text) == [] and personal.redact(text, []) == text
 
 
+def test_runs_of_cues_are_read_once():
+    text = "token=" * 800_000
+    assert personal.find_spans(text) == [("secret", 6, len(text))]
+    inner = "secret=aaaaaaaaaaaatoken= bbbbbbbbbbbbb and password: secret=cccccccccccc"
+    assert [inner[s:e] for _, s, e in personal.find_spans(inner)] == ["aaaaaaaaaaaatoken=", "bbbbbbbbbbbbb", "secret=cccccccccccc"]
+
+
 def test_awkward_rows(spark):
     schema = "doc_id long, text string, n_chars long, personal string, __text string, redacted string"
     texts = {1: None, 2: "", 3: "é a@b.co +1 555 123 4567 \U0001f600 10.0.0.1", 4: "x" * 200_000 + " a@b.co", 5: "a@b.co\na@b.co"}
@@ -95,3 +102,4 @@ def test_op1_digests(spark, small):
         assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[0] == k for s in want) for k in PATTERNS]
         assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in want).encode()).hexdigest()
         assert set(f"{k}:{s}:{e}" for k, s, e in want) <= set(r["spans"].split(","))
+        assert r["n_spans"] == len(personal.find_spans(texts[r["doc_id"]]))
