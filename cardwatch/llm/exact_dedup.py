@@ -1,10 +1,11 @@
-"""Exact duplicates by merging digest runs up a tree and handing the winners down again.
+"""Exact duplicates by merging sorted digest runs in binomial rounds and handing the winners down again.
 
-Every input partition is a run of digests. In each round ``fan_in`` runs merge into one: rows equal
-in digest and parent run meet, and only the best identifier and a count go on. After
-``log(runs, fan_in)`` rounds one run is left. The winners go down the same tree, so no task ever
-receives more than ``fan_in`` rows of a digest on the way, nor more than one partition's copies at
-the leaves, even if a third of all rows are copies of one text.
+Every input partition is a run of digests. In round ``k`` each run meets the run whose number differs in bit ``k``: the two
+are dealt out by ranges of (merged run, digest), sorted, and merged in one pass over neighbours. Rows equal in digest and
+length meet there, and only the best identifier and a count go on, as one row of the merged run. Every level is written
+once, sorted. After ``log2(runs)`` rounds one run is left, split by ranges of digests over many tasks. The winners of texts
+that occur more than once go down the same tree, so no task ever receives more than two rows of a digest per merged
+run on the way, nor more than one partition's copies at the leaves, even if a third of all rows are copies of one text.
 """
 
 from __future__ import annotations
@@ -35,14 +36,14 @@ def exact_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: str = "largest",
-    fan_in: int = 16,
+    fan_in: int = 2,
     uid_col: str | None = None,
 ) -> DataFrame:
     """Groups of texts that are identical after lower-casing A-Z.
 
     Returns one row per input row: row_uid (``uid_col``, or the position in the one scan), doc_id, digest (SHA-256, binary), keep_id,
     group_size, kept. ``keep`` says whether the ``largest`` or the ``smallest`` id of a group stays. Two texts count as
-    equal only if digest and length in bytes agree.
+    equal only if digest and length in bytes agree. ``fan_in`` runs merge into one per round.
 
     Null texts count as empty, and all empty texts are one group. A null id ranks below every id. Among repeated rows
     with the kept id, the one that comes last (``largest``) or first in the scan stays, so exactly one row per group is
@@ -57,24 +58,28 @@ def exact_duplicates(
     rank = F.struct(F.col("doc_id").isNull() if keep == "smallest" else F.col("doc_id").isNotNull(), "doc_id", "row_uid")
     runs = (leaves.agg(F.max("run")).first()[0] or 0) + 1
 
-    levels = [leaves.groupBy(*same, "run").agg(best(rank).alias("best"), F.count("*").alias("copies"))]
+    # Copies within a run become one row before anything moves.
+    first = leaves.groupBy("run", *same).agg(best(rank).alias("best"), F.count("*").alias("copies"))
+    levels = [write_once(first, "digest-level")]
+    merged = F.floor(F.col("run") / fan_in).cast("int")
     while runs > 1:
         runs = -(-runs // fan_in)
-        below = levels[-1].withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-        levels.append(below.groupBy(*same, "run").agg(best("best").alias("best"), F.sum("copies").alias("copies")))
+        met = levels[-1].withColumn("run", merged).repartitionByRange("run", "digest").sortWithinPartitions("run", *same)
+        level = met.groupBy("run", *same).agg(best("best").alias("best"), F.sum("copies").alias("copies"))
+        levels.append(write_once(level, "digest-level"))
 
-    won = levels.pop().select(*same, F.col("run").alias("parent"), "best", "copies")
+    # A text that occurs once is its own winner and needs no message.
+    won = levels.pop().filter("copies > 1")
     for level in reversed(levels):
-        members = level.select(*same, "run", F.floor(F.col("run") / fan_in).cast("int").alias("parent"))
-        won = members.join(won, [*same, "parent"]).select(*same, F.col("run").alias("parent"), "best", "copies")
-    won = won.withColumnRenamed("parent", "run")
-    return leaves.join(won, [*same, "run"]).select(
+        members = level.select(*same, F.col("run").alias("own"), merged.alias("run"))
+        won = members.join(won, [*same, "run"]).select(*same, F.col("own").alias("run"), "best", "copies")
+    return leaves.join(won, [*same, "run"], "left").select(
         "row_uid",
         "doc_id",
         "digest",
-        F.col("best.doc_id").alias("keep_id"),
-        F.col("copies").alias("group_size"),
-        (F.col("row_uid") == F.col("best.row_uid")).alias("kept"),
+        F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        F.coalesce("copies", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("row_uid") == F.col("best.row_uid"), F.lit(True)).alias("kept"),
     )
 
 
