@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm.components import components
-from cardwatch.llm.shared import store_rows, store_texts, write_once
+from cardwatch.llm.shared import join_by_key, store_rows, store_texts, write_once
 from cardwatch.llm.spans import Chunk, chunks, folded_words, gram_hashes, hash_spans, mix, ranges
 
 SHINGLE = 5
@@ -145,19 +145,28 @@ def _verified(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFr
     )
 
 
-def _links_in_blocks(members: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
+def _dealt_in_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (stored: lead, uid, root, size) with ``blocks``, into how many their group is dealt, and ``own``, theirs.
+
+    Members of a large group learn this in many tasks.
+    """
+    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    groups = members.groupBy("lead").agg(needed.cast("int").alias("blocks"), F.count("*").alias("n"))
+    groups = write_once(groups, "block-counts")
+    told = join_by_key(members, groups.select("lead", "blocks"), "lead", groups.select("lead", "n"), "uid")
+    return told.withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+
+
+def _links_in_blocks(dealt: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
     """Links (u, v) between texts of different roots in one group; together with the roots they join all that is linked.
 
-    ``members``: lead (names the group), uid, root, size, signature, shingles. A group with many or long members is dealt
-    out in blocks; each pair of blocks is a task of its own. There, what is within five standard deviations of the
+    ``dealt``: lead (names the group), own, blocks, uid, root, size, signature, shingles. A group with many or long members is
+    dealt out in blocks; each pair of blocks is a task of its own. There, what is within five standard deviations of the
     threshold by signature is compared by its whole shingle sets. Links that join nothing new are not given out, so a task
     gives out fewer rows than it takes in.
     """
     k = bands * rows
     least = k * threshold - 5 * (k * threshold * (1 - threshold)) ** 0.5
-    needed = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES))
-    blocks = members.groupBy("lead").agg(needed.cast("int").alias("blocks"))
-    dealt = members.join(blocks, "lead").withColumn("own", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     carried = ["uid", "root", "size", "signature", "shingles"]
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("lead", "own", *carried, other).select(
@@ -237,8 +246,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
     ends = F.min("root").alias("low"), F.max("root").alias("high"), F.min("uid").alias("lead")
     mixed = rooted.groupBy("bucket").agg(*ends).filter("low <> high").select("bucket", "lead")
-    together = rooted.join(mixed, "bucket").select("lead", "uid", "root", "size").distinct()
-    together = together.join(reps.select("uid", "signature"), "uid").join(shingles, "uid")
+    together = write_once(rooted.join(mixed, "bucket").select("lead", "uid", "root", "size").distinct(), "mixed-groups")
+    together = _dealt_in_blocks(together).join(reps.select("uid", "signature"), "uid").join(shingles, "uid")
     more = write_once(_links_in_blocks(together, bands, rows, threshold), "block-links")
     joined = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
