@@ -208,3 +208,69 @@ def test_one_class_cannot_be_fitted(spark):
 def test_bins_follow_the_cuts():
     cuts = [[0.0, 1.0], []]
     assert binned(np.array([[0.0, 5.0], [0.5, np.nan], [1.1, 5.0], [np.nan, 5.0]]), cuts).tolist() == [[1, 2, 3, 0], [1, 0, 1, 1]]
+
+
+# --- what a job moves and computes -------------------------------------------------------------------
+
+
+def test_bundles_hold_the_sums_of_every_feature():
+    rng = np.random.default_rng(6)
+    few = rng.integers(1, 3, (12, 3000))
+    bins = np.concatenate([few, rng.integers(0, 60, (2, 3000)), few[:2] ^ 3]).astype(np.uint8)
+    cuts = [[0.0]] * 12 + [list(range(59))] * 2 + [[0.0]] * 2
+    layout = binning.Layout([list(map(float, c)) for c in cuts])
+    codes, bundles = binning.bundled(bins)
+    columns = binning.Columns(np.delete(bins, [f for b in bundles for f in b.features], axis=0), codes, bundles)
+    assert columns.shape == bins.shape and all((columns[f] == bins[f]).all() for f in range(len(bins)))
+    assert len(bundles) <= 3 and max(b.table.shape[1] for b in bundles) <= binning.MOST_CODES
+    assert sorted(f for b in bundles for f in b.features) == [*range(12), 14, 15]
+
+    class Held:
+        bins = columns
+
+    rows, value = rng.random(3000) < 0.7, rng.normal(size=3000)
+    tree = boosting.begun(Growth())
+    found = boosting._sums([(Held, rows, (value, value**2, None))], tree.compact(), [0], 1, layout)[0]
+    for f in range(len(bins)):
+        own = found[layout.starts[f] : layout.starts[f + 1]]
+        for k, v in enumerate((value, value**2, np.ones(3000))):
+            assert np.allclose(own[:, k], np.bincount(bins[f][rows], v[rows], len(own)))
+
+
+def test_a_worker_applies_only_the_trees_that_are_new():
+    class Once:
+        def __init__(self, value):
+            self.value, self.used = value, 0
+
+        def values(self, bins):
+            self.used += 1
+            return np.full(bins.shape[1], self.value)
+
+    codes, bundles = binning.bundled(np.ones((2, 4), np.uint8))
+    row = {"n": 4, "name": "a" * 64, "share": 0, "shares": 1, "bins": b"", "codes": codes.tobytes(), "bundles": boosting.pickle.dumps(bundles)}
+    row["scores"] = np.zeros((1, 4)).tobytes()
+    one, two, three = Once(1.0), Once(2.0), Once(4.0)
+    assert (boosting._scores(row, [[one]], [0]) == 1).all()
+    assert (boosting._scores(row, [[one, two]], [0]) == 3).all()
+    # The table was written anew with two trees.
+    later = row | {"scores": np.full((1, 4), 3.0).tobytes()}
+    assert (boosting._scores(later, [[three]], [2]) == 7).all()
+    assert [t.used for t in (one, two, three)] == [1, 1, 1]
+    # Another worker, or one that is ahead of a job that runs again, starts from the table.
+    assert (boosting._scores(later, [[]], [2]) == 3).all()
+    boosting._kept.clear()
+    assert (boosting._scores(later, [[three]], [2]) == 7).all()
+
+
+def test_blocks_are_dealt_evenly_and_sums_need_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(binning, "BLOCK_ROWS", 60)
+    x, y, fold = sample()
+    rows = table(spark, x, y, fold)
+    cuts = cut_points(rows, "x", 16)
+    packed = boosting.blocks(rows, cuts, N).localCheckpoint()
+    scored = boosting._Scored(packed, [0.0] * 3)
+    try:
+        held = scored.stored.rdd.glom().map(len).collect()
+        assert sum(held) == packed.count() and max(held) == 1
+    finally:
+        scored.release()
