@@ -213,28 +213,23 @@ def test_bins_follow_the_cuts():
 # --- what a job moves and computes -------------------------------------------------------------------
 
 
-def test_bundles_hold_the_sums_of_every_feature():
+def test_sums_of_nodes_and_of_rows_that_count():
     rng = np.random.default_rng(6)
-    few = rng.integers(1, 3, (12, 3000))
-    bins = np.concatenate([few, rng.integers(0, 60, (2, 3000)), few[:2] ^ 3]).astype(np.uint8)
-    cuts = [[0.0]] * 12 + [list(range(59))] * 2 + [[0.0]] * 2
-    layout = binning.Layout([list(map(float, c)) for c in cuts])
-    codes, bundles = binning.bundled(bins)
-    columns = binning.Columns(np.delete(bins, [f for b in bundles for f in b.features], axis=0), codes, bundles)
-    assert columns.shape == bins.shape and all((columns[f] == bins[f]).all() for f in range(len(bins)))
-    assert len(bundles) <= 3 and max(b.table.shape[1] for b in bundles) <= binning.MOST_CODES
-    assert sorted(f for b in bundles for f in b.features) == [*range(12), 14, 15]
+    bins = np.concatenate([rng.integers(1, 3, (3, 3000)), rng.integers(0, 60, (2, 3000))]).astype(np.uint8)
+    layout = binning.Layout([[0.0]] * 3 + [list(map(float, range(59)))] * 2)
 
     class Held:
-        bins = columns
+        pass
 
+    Held.bins = bins
     rows, value = rng.random(3000) < 0.7, rng.normal(size=3000)
-    tree = boosting.begun(Growth())
-    found = boosting._sums([(Held, rows, (value, value**2, None))], tree.compact(), [0], 1, layout)[0]
-    for f in range(len(bins)):
-        own = found[layout.starts[f] : layout.starts[f + 1]]
-        for k, v in enumerate((value, value**2, np.ones(3000))):
-            assert np.allclose(own[:, k], np.bincount(bins[f][rows], v[rows], len(own)))
+    flat = boosting.BranchingTree(*map(np.array, ([0, -1, -1], [1, 0, 0], [True] * 3, [1, 0, 0], [2, 0, 0], [0.0] * 3)))
+    found = boosting._sums([(Held, rows, (value, value**2, None))], flat, [2, 1], 3, layout)
+    for own, there in zip(found, (rows & (bins[0] > 1), rows & (bins[0] <= 1))):
+        for f in range(len(bins)):
+            for k, v in enumerate((value, value**2, np.ones(3000))):
+                part = own[layout.starts[f] : layout.starts[f + 1], k]
+                assert np.array_equal(part, np.bincount(bins[f][there], v[there], len(part)))
 
 
 def test_a_worker_applies_only_the_trees_that_are_new():
@@ -246,8 +241,7 @@ def test_a_worker_applies_only_the_trees_that_are_new():
             self.used += 1
             return np.full(bins.shape[1], self.value)
 
-    codes, bundles = binning.bundled(np.ones((2, 4), np.uint8))
-    row = {"n": 4, "name": "a" * 64, "share": 0, "shares": 1, "bins": b"", "codes": codes.tobytes(), "bundles": boosting.pickle.dumps(bundles)}
+    row = {"n": 4, "name": "a" * 64, "share": 0, "shares": 1, "bins": np.ones((2, 4), np.uint8).tobytes()}
     row["scores"] = np.zeros((1, 4)).tobytes()
     one, two, three = Once(1.0), Once(2.0), Once(4.0)
     assert (boosting._scores(row, [[one]], [0]) == 1).all()
