@@ -230,3 +230,26 @@ def test_a_ring_needs_the_kernel(spark, tmp_path):
     assert right(radial) > 0.95 > 0.85 > right(CalibratedSVC(**made).fit(df))
     radial.write().overwrite().save(str(tmp_path / "svc"))
     assert right(PipelineModel.load(str(tmp_path / "svc"))) == right(radial)
+
+
+@pytest.mark.parametrize("task_bytes, merged", [(None, True), (1 << 10, False), (1 << 24, True)])
+def test_results_are_merged_by_as_many_tasks_as_run_at_a_time(task_bytes, merged):
+    class Table:
+        """Notes how it is dealt, whatever the session's number of shuffle partitions."""
+
+        dealt = None
+        sparkSession = type("S", (), {"sparkContext": type("C", (), {"defaultParallelism": 7})})
+
+        def mapInArrow(self, *_):
+            return self
+
+        def repartition(self, *by):
+            self.dealt = by
+            return self
+
+        def collect(self):
+            return []
+
+    table = Table()
+    assert raw_blocks.Blocks(table, 3, {}, 30).summed(None, None, task_bytes=task_bytes) == {}
+    assert table.dealt == ((7, "key", "part") if merged else None)
