@@ -56,4 +56,4 @@ def test_trials_of_a_search_share_their_jobs(folded, monkeypatch):
 def test_one_class_is_an_error(spark):
     rows = spark.createDataFrame([([1.0], True, 0), ([2.0], True, 1)], "x array<double>, y boolean, fold int")
     with pytest.raises(ValueError):
-        linear.fit_side_by_side(rows, [linear.LinearFit("logistic", 0.1, 5)])
+        linear.fit_side_by_side(rows, [linear.LinearFit(0.1, 5)])
