@@ -7,12 +7,13 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from cardwatch.learners.adaboost import AdaBoostStumps
 from cardwatch.learners.gaussian_nb import GaussianNaiveBayes
 from cardwatch.learners.knn import NearestNeighbors, nearest_neighbors, vote
-from cardwatch.learners.zoo import LEARNERS
+from cardwatch.learners.zoo import LEARNERS, Setting
 from cardwatch.operators import encode
 from cardwatch.plans import ensemble, training
 from cardwatch.plans.run import STACKED_NAME, RunConfig, run
@@ -116,6 +117,19 @@ def test_bounded_neighbours_equal_the_join_and_survive_saving(spark, tmp_path, w
     assert twice.count() == 120
 
 
+def test_all_labelled_rows_vote(spark):
+    """More rows than a bounded model kept, each its own nearest; ids that repeat or are missing are scored row by row."""
+    learner = LEARNERS["KNN"]
+    at = F.col("id").cast("double")
+    rows = spark.range(20_100).select(F.col("id").alias("transaction_id"), array_to_vector(F.array(at)).alias("features"), (at % 3 == 0).cast("int").alias("is_fraud"))
+    model = learner.build(learner.defaults, Setting(1, 20_100.0, "features")).fit(rows)
+    assert model.train.count() == 20_100
+    asked = [(None, 0.0), (7, 20_001.0), (7, 20_002.0), (7, 20_099.0)]
+    queries = spark.createDataFrame(asked, "transaction_id long, at double").select("*", array_to_vector(F.array("at")).alias("features"))
+    found = {(r["transaction_id"], r["at"]): r["probability"][1] for r in model.transform(queries).collect()}
+    assert found == {(i, at): float(at % 3 == 0) for i, at in asked}
+
+
 def test_exact_hits_decide_alone(spark):
     rows = [(1, 1, 0.0, 1.0), (1, 2, 4.0, 0.0), (2, 1, 1.0, 1.0), (2, 2, 4.0, 0.0)]
     near = spark.createDataFrame(rows, "transaction_id long, rank int, d2 double, neighbor_label double")
