@@ -133,6 +133,55 @@ def test_booster_equals_plain_one(spark, monkeypatch, name, block):
         assert np.allclose(found.margin(x)[own], score, rtol=0, atol=1e-9)
 
 
+@pytest.mark.parametrize("name", GROWTHS)
+def test_one_task_per_model_equals_many(spark, monkeypatch, name):
+    """A model grown by one task that holds all blocks, in one job, is the one that is grown from the sums of many tasks."""
+    monkeypatch.setattr(binning, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(binning, "JOINT_VALUES", 40)
+    x, y, fold = sample()
+    rows = table(spark, x, y, fold)
+    cuts = cut_points(rows, "x", 16)
+    growth = GROWTHS[name]
+    fits = [Fit(growth, 5, 0.3, (1.0, 2.5), 0, name != "catboost"), Fit(growth, 3, 0.5, (1.0, 1.0), None, True)]
+    whole = fit_side_by_side(rows, fits, cuts=cuts)
+    monkeypatch.setattr(boosting, "WHOLE", 0)
+    many = fit_side_by_side(rows, fits, cuts=cuts)
+    for one, other in zip(whole, many):
+        assert len(one.trees) == len(other.trees) and np.allclose(one.gains, other.gains)
+        assert np.allclose(one.margin(x), other.margin(x), rtol=0, atol=1e-9)
+    own, score = plain_boost(x, y, fold != 0, fits[0], cuts)
+    assert np.allclose(many[0].margin(x)[own], score, rtol=0, atol=1e-9)
+
+
+def test_small_tables_need_no_job_per_round(spark, monkeypatch):
+    """Blocks that disagree, where every round took a job per level."""
+    monkeypatch.setattr(binning, "BLOCK_ROWS", 60)
+    x, y, fold = sample()
+    rows = table(spark, x, y, fold)
+    group = "boosting-jobs"
+    spark.sparkContext.setJobGroup(group, "jobs of one fit")
+    try:
+        fit_side_by_side(rows, [Fit(GROWTHS["xgboost"], 30, 0.3), Fit(GROWTHS["catboost"], 30, 0.3, held_out=1)])
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_joint_sums_are_those_of_single_features():
+    rng = np.random.default_rng(8)
+    bins = np.concatenate([rng.integers(0, 3, (6, 2000)), rng.integers(0, 60, (2, 2000))]).astype(np.uint8)
+    bins[5] = bins[4]
+    layout = binning.Layout([[0.0]] * 6 + [list(map(float, range(59)))] * 2)
+    joints = binning.joined(bins, layout, 300)
+    assert len(joints) < 6 and sorted(np.concatenate([j.bins for j in joints])) == list(range(layout.total))
+    again = binning.unpacked_joints(binning.packed_joints(joints), bins, layout)
+    at, value = np.flatnonzero(rng.random(2000) < 0.6), rng.normal(size=2000)
+    slot = rng.integers(0, 3, len(at))
+    single, *other = (binning.sums_by_bin(j, at, slot, 3, (value[at], None), layout) for j in (binning.alone(bins, layout), joints, again))
+    for found in other:
+        assert np.allclose(found, single) and np.array_equal(found[..., 1], single[..., 1])
+
+
 def test_presets_grow_different_trees(spark):
     x, y, fold = sample(missing=False)
     rows = table(spark, x, y, fold)
